@@ -15,7 +15,7 @@ ROUTED_TYPES = ("insert", "update", "bootstrap-insert")
 
 def sink_columns() -> Column:
     """The configured column list; blanks around names do not count."""
-    return F.transform(F.split("sink_columns", ","), F.trim)
+    return F.transform(F.split("sink_columns", ","), lambda c: F.trim(c))
 
 
 def route(changes: DataFrame, routing: DataFrame) -> DataFrame:
