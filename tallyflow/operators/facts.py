@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,17 @@ def fields(*keys: str, **renamed: str) -> list[Column]:
     return same + [P.new(k).alias(n) for n, k in renamed.items()]
 
 
-def changes_of(changes: DataFrame, table: str, *types: str, database: str | None = None) -> DataFrame:
-    return changes.where(P.is_table(table, *types, database=database))
+#: A change feed: all tables in one, or one feed per table.
+Changes = DataFrame | Mapping[str, DataFrame]
+
+
+def changes_of(changes: Changes, table: str, *types: str, database: str | None = None) -> DataFrame:
+    feed = changes if isinstance(changes, DataFrame) else changes[table]
+    return feed.where(P.is_table(table, *types, database=database))
 
 
 # --- facts of one table ----------------------------------------------------
-def comments(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+def comments(changes: Changes, dictionary: DataFrame) -> DataFrame:
     rows = changes_of(changes, "comment_info", "insert").select(
         *fields("id", "user_id", "sku_id", "order_id"),
         date_id(P.new("create_time")).alias("date_id"),
@@ -34,7 +41,7 @@ def comments(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return named.select(*rows.columns[:-1], "appraise_name", "ts")
 
 
-def favours(changes: DataFrame) -> DataFrame:
+def favours(changes: Changes) -> DataFrame:
     again = P.is_type("update") & (P.new("is_cancel") == "0")
     return changes_of(changes, "favor_info").where(P.is_type("insert") | again).select(
         *fields("id", "user_id", "sku_id"),
@@ -51,16 +58,16 @@ def _coupon_rows(rows: DataFrame, when: str, name: str, order_id: bool) -> DataF
     )
 
 
-def coupons_received(changes: DataFrame) -> DataFrame:
+def coupons_received(changes: Changes) -> DataFrame:
     return _coupon_rows(changes_of(changes, "coupon_use", "insert"), "get_time", "get_time", False)
 
 
-def coupons_ordered(changes: DataFrame) -> DataFrame:
+def coupons_ordered(changes: Changes) -> DataFrame:
     moved = P.transition("coupon_status", "1401", "1402")
     return _coupon_rows(changes_of(changes, "coupon_use").where(moved), "using_time", "order_time", True)
 
 
-def coupons_paid(changes: DataFrame, strict: bool = False) -> DataFrame:
+def coupons_paid(changes: Changes, strict: bool = False) -> DataFrame:
     """Updates of a coupon that has a use time; `strict` keeps the one that set it.
 
     Without `strict` every later update of a paid coupon counts again.
@@ -71,7 +78,7 @@ def coupons_paid(changes: DataFrame, strict: bool = False) -> DataFrame:
     return _coupon_rows(rows, "used_time", "payment_time", True)
 
 
-def registrations(changes: DataFrame) -> DataFrame:
+def registrations(changes: Changes) -> DataFrame:
     return changes_of(changes, "user_info", "insert").select(
         *fields(user_id="id"),
         date_id(P.new("create_time")).alias("date_id"),
@@ -80,7 +87,7 @@ def registrations(changes: DataFrame) -> DataFrame:
     )
 
 
-def cart_adds(changes: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
+def cart_adds(changes: Changes, dictionary: DataFrame, database: str | None = None) -> DataFrame:
     """Goods put into the cart; an update counts with the number added."""
     added = changes_of(changes, "cart_info", database=database).where(P.is_type("insert") | P.grew("sku_num"))
     keys = [k for k in schemas.CART_KEYS if k not in ("sku_num", "source_type")]
@@ -93,7 +100,7 @@ def _change_time() -> Column:
     return F.timestamp_seconds(F.col("ts").try_cast("bigint"))
 
 
-def order_wide(changes: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
+def order_wide(changes: Changes, dictionary: DataFrame, database: str | None = None) -> DataFrame:
     """Wide order lines, one row per (line, order version).
 
     Activity and coupon rows are read as keyed tables (latest row per line), so
@@ -155,7 +162,7 @@ def cancelled_details(wide: DataFrame) -> DataFrame:
     return wide.where(cancelled).withColumnRenamed("operate_time", "cancel_time").select(*schemas.CANCEL_DETAIL)
 
 
-def paid_details(changes: DataFrame, details: DataFrame, dictionary: DataFrame) -> DataFrame:
+def paid_details(changes: Changes, details: DataFrame, dictionary: DataFrame) -> DataFrame:
     paid = changes_of(changes, "payment_info", "update").where(P.new("payment_status") == "1602")
     payments = paid.select(*fields("callback_time", _order="order_id", payment_type_code="payment_type"))
     named = with_dictionary(payments, dictionary, "payment_type_code", "payment_type_name")
@@ -165,7 +172,7 @@ def paid_details(changes: DataFrame, details: DataFrame, dictionary: DataFrame)
     return lines.join(named, F.col("order_id") == F.col("_order")).select(*schemas.PAY_DETAIL)
 
 
-def refund_requests(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+def refund_requests(changes: Changes, dictionary: DataFrame) -> DataFrame:
     refunds = changes_of(changes, "order_refund_info", "insert").select(
         *fields(
             "id",
@@ -185,7 +192,7 @@ def refund_requests(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     named = with_dictionary(refunds, dictionary, "refund_type_code", "refund_type_name")
     named = with_dictionary(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
-    orders = changes.where(F.col("table") == "order_info").where(P.changed_to("order_status", "1005"))
+    orders = changes_of(changes, "order_info").where(P.changed_to("order_status", "1005"))
     orders = orders.select(*fields("province_id", _order="id"), _change_time().alias("_order_ts"))
     return (
         named.join(orders, F.col("order_id") == F.col("_order"))
@@ -194,7 +201,7 @@ def refund_requests(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def refunds_paid(changes: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
+def refunds_paid(changes: Changes, dictionary: DataFrame, strict: bool = False) -> DataFrame:
     """Paid refunds; `strict` also asks for the status changes 0702 and 0705."""
     payment = changes_of(changes, "refund_payment")
     refund = changes_of(changes, "order_refund_info")
@@ -215,7 +222,7 @@ def refunds_paid(changes: DataFrame, dictionary: DataFrame, strict: bool = False
         _change_time().alias("_paid_ts"),
     )
     named = with_dictionary(paid, dictionary, "payment_type_code", "payment_type_name")
-    orders = changes.where(F.col("table") == "order_info").where(P.changed_to("order_status", "1006"))
+    orders = changes_of(changes, "order_info").where(P.changed_to("order_status", "1006"))
     orders = orders.select(*fields("user_id", "province_id", _order="id"), _change_time().alias("_order_ts"))
     # Latest state of the (order, sku) refund, so that repeated changes do not multiply rows.
     requested = last_per(

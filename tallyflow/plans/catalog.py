@@ -130,7 +130,7 @@ def page_kind_uv(spark, sf_dir):
 
 
 def _carts(spark, sf_dir) -> DataFrame:
-    return X.cart_adds(A.changes(spark, sf_dir, "cart_info"), A.dictionary(spark, sf_dir), A.SHOP)
+    return X.cart_adds(A.feeds(spark, sf_dir, "cart_info"), A.dictionary(spark, sf_dir), A.SHOP)
 
 
 @query
@@ -150,7 +150,7 @@ def login_back_user(spark, sf_dir):
 
 
 def _wide(spark, sf_dir) -> DataFrame:
-    rows = A.changes(
+    rows = A.feeds(
         spark, sf_dir, "order_info", "order_detail", "order_detail_activity", "order_detail_coupon"
     )
     return X.order_wide(rows, A.dictionary(spark, sf_dir), A.SHOP)
@@ -163,7 +163,7 @@ def _details(spark, sf_dir) -> DataFrame:
 
 def _paid(spark, sf_dir) -> DataFrame:
     return X.paid_details(
-        A.changes(spark, sf_dir, "payment_info"), _details(spark, sf_dir), A.dictionary(spark, sf_dir)
+        A.feeds(spark, sf_dir, "payment_info"), _details(spark, sf_dir), A.dictionary(spark, sf_dir)
     )
 
 
@@ -224,27 +224,27 @@ def cdc_changed_to(spark, sf_dir):
 
 @query
 def cdc_transition(spark, sf_dir):
-    return X.coupons_ordered(A.changes(spark, sf_dir, "coupon_use"))
+    return X.coupons_ordered(A.feeds(spark, sf_dir, "coupon_use"))
 
 
 @query
 def cdc_favor(spark, sf_dir):
-    return X.favours(A.changes(spark, sf_dir, "favor_info"))
+    return X.favours(A.feeds(spark, sf_dir, "favor_info"))
 
 
 @query
 def cdc_coupon_get(spark, sf_dir):
-    return X.coupons_received(A.changes(spark, sf_dir, "coupon_use"))
+    return X.coupons_received(A.feeds(spark, sf_dir, "coupon_use"))
 
 
 @query
 def cdc_coupon_pay(spark, sf_dir):
-    return X.coupons_paid(A.changes(spark, sf_dir, "coupon_use"))
+    return X.coupons_paid(A.feeds(spark, sf_dir, "coupon_use"))
 
 
 @query
 def cdc_coupon_pay_strict(spark, sf_dir):
-    return X.coupons_paid(A.changes(spark, sf_dir, "coupon_use"), strict=True)
+    return X.coupons_paid(A.feeds(spark, sf_dir, "coupon_use"), strict=True)
 
 
 @query
@@ -254,12 +254,12 @@ def cdc_cart_delta(spark, sf_dir):
 
 @query
 def user_register(spark, sf_dir):
-    return X.registrations(A.changes(spark, sf_dir, "user_info"))
+    return X.registrations(A.feeds(spark, sf_dir, "user_info"))
 
 
 @query
 def comment_fact(spark, sf_dir):
-    return X.comments(A.changes(spark, sf_dir, "comment_info"), A.dictionary(spark, sf_dir))
+    return X.comments(A.feeds(spark, sf_dir, "comment_info"), A.dictionary(spark, sf_dir))
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def pay_detail(spark, sf_dir):
 
 
 def _refunds(spark, sf_dir) -> DataFrame:
-    rows = A.changes(spark, sf_dir, "order_info", "order_refund_info")
+    rows = A.feeds(spark, sf_dir, "order_info", "order_refund_info")
     return X.refund_requests(rows, A.dictionary(spark, sf_dir))
 
 
@@ -303,7 +303,7 @@ def refund_detail(spark, sf_dir):
 
 @query
 def refund_paid(spark, sf_dir):
-    rows = A.changes(spark, sf_dir, "order_info", "order_refund_info", "refund_payment")
+    rows = A.feeds(spark, sf_dir, "order_info", "order_refund_info", "refund_payment")
     return _shown(X.refunds_paid(rows, A.dictionary(spark, sf_dir)))
 
 
@@ -434,7 +434,7 @@ def win_login(spark, sf_dir):
 
 @query
 def win_register(spark, sf_dir):
-    return M.register(X.registrations(A.changes(spark, sf_dir, "user_info")), HOUR)
+    return M.register(X.registrations(A.feeds(spark, sf_dir, "user_info")), HOUR)
 
 
 @query

@@ -8,7 +8,7 @@ seconds made from its keys.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,25 @@ from .. import schemas
 _START = "timestamp_ntz'2024-01-01 00:00:00'"
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; the reader (not its rows) is kept, so footers are read once."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores.
+
+    A table of a few megabytes is one row group, so one task would do all the
+    work on it.  Tables with more bytes than some megabytes per core have enough
+    row groups and are never shuffled here; dimension-sized ones are not worth it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, df.columns[0]) if _MB < size < 4 * _MB * cores else df
+
+
+_MB = 1024 * 1024
 
 
 # --- application log -------------------------------------------------------
@@ -102,9 +119,17 @@ def _map(**pairs: str) -> str:
 _NO_OLD = "cast(null as map<string,string>)"
 _ORDER_AT = _moment("o_orderdate", "(o_orderkey * 37) % 86400")
 _LINE_AT = _moment("l_shipdate", "(l_orderkey * 37 + l_linenumber * 11) % 86400")
-_ORDER_LATER = f"timestampadd(SECOND, 600 + o_orderkey % 3600, {_ORDER_AT})"
-_LINE_LATER = f"timestampadd(SECOND, 900 + l_orderkey % 3600, {_LINE_AT})"
-_LINE_ID = "concat(l_orderkey, '-', l_linenumber)"
+# Columns worked out once per source row and used by several change values.
+_PREPARED = {
+    "orders": [("made", _ORDER_AT), ("later", "timestampadd(SECOND, 600 + o_orderkey % 3600, made)")],
+    "lineitem": [
+        ("made", _LINE_AT),
+        ("later", "timestampadd(SECOND, 900 + l_orderkey % 3600, made)"),
+        ("line", "concat(l_orderkey, '-', l_linenumber)"),
+    ],
+    "events": [("k", _K)],
+    "customer": [("made", f"timestampadd(SECOND, (c_custkey * 977) % 2592000, {_START})")],
+}
 
 
 def _order(status: str, operate: str = "null") -> str:
@@ -114,7 +139,7 @@ def _order(status: str, operate: str = "null") -> str:
         total_amount=_dec("o_totalprice"),
         order_status=status,
         user_id="o_custkey",
-        create_time=_text(_ORDER_AT),
+        create_time=_text("made"),
         operate_time=operate,
         province_id="o_custkey % 26",
         original_total_amount=_dec("o_totalprice"),
@@ -125,22 +150,22 @@ def _order(status: str, operate: str = "null") -> str:
 # table -> list of (source table, filter, type, data, old, change time)
 _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
     "order_info": [
-        ("orders", "true", "insert", _order("'1001'"), _NO_OLD, _ORDER_AT),
+        ("orders", "true", "insert", _order("'1001'"), _NO_OLD, "made"),
         (
             "orders",
             "true",
             "update",
-            _order("case o_orderstatus when 'F' then '1003' when 'P' then '1005' else '1002' end", _text(_ORDER_LATER)),
+            _order("case o_orderstatus when 'F' then '1003' when 'P' then '1005' else '1002' end", _text("later")),
             "map('order_status', '1001')",
-            _ORDER_LATER,
+            "later",
         ),
         (
             "orders",
             "o_orderstatus = 'P' and o_orderkey % 2 = 0",
             "update",
-            _order("'1006'", _text(_ORDER_LATER)),
+            _order("'1006'", _text("later")),
             "map('order_status', '1005')",
-            f"timestampadd(SECOND, 60, {_ORDER_LATER})",
+            "timestampadd(SECOND, 60, later)",
         ),
     ],
     "order_detail": [
@@ -149,13 +174,13 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "true",
             "insert",
             _map(
-                id=_LINE_ID,
+                id="line",
                 order_id="l_orderkey",
                 sku_id="l_partkey",
                 sku_name="concat('sku ', l_partkey)",
                 order_price=_dec("l_extendedprice"),
                 sku_num="cast(l_quantity as int)",
-                create_time=_text(_LINE_AT),
+                create_time=_text("made"),
                 source_type="1 + l_partkey % 5",
                 source_id="l_suppkey",
                 split_total_amount=_dec("l_extendedprice"),
@@ -163,7 +188,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
                 split_coupon_amount="if(l_tax > 0.04, cast(round(l_tax * 100) as int), null)",
             ),
             _NO_OLD,
-            _LINE_AT,
+            "made",
         )
     ],
     "order_detail_activity": [
@@ -172,16 +197,16 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "l_discount > 0.05",
             "insert",
             _map(
-                id=f"concat('a', {_LINE_ID})",
+                id="concat('a', line)",
                 order_id="l_orderkey",
-                order_detail_id=_LINE_ID,
+                order_detail_id="line",
                 activity_id="l_partkey % 10",
                 activity_rule_id="l_partkey % 4",
                 sku_id="l_partkey",
-                create_time=_text(_LINE_AT),
+                create_time=_text("made"),
             ),
             _NO_OLD,
-            _LINE_AT,
+            "made",
         )
     ],
     "order_detail_coupon": [
@@ -190,16 +215,16 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "l_tax > 0.04",
             "insert",
             _map(
-                id=f"concat('c', {_LINE_ID})",
+                id="concat('c', line)",
                 order_id="l_orderkey",
-                order_detail_id=_LINE_ID,
+                order_detail_id="line",
                 coupon_id="l_suppkey % 8",
                 coupon_use_id="l_suppkey",
                 sku_id="l_partkey",
-                create_time=_text(_LINE_AT),
+                create_time=_text("made"),
             ),
             _NO_OLD,
-            _LINE_AT,
+            "made",
         )
     ],
     "payment_info": [
@@ -212,11 +237,11 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
                 user_id="o_custkey",
                 order_id="o_orderkey",
                 payment_type="1 + o_orderkey % 5",
-                callback_time=_text(_ORDER_LATER),
+                callback_time=_text("later"),
                 payment_status="if(o_orderkey % 9 = 0, '1601', '1602')",
             ),
             "map('payment_status', '1601')",
-            _ORDER_LATER,
+            "later",
         )
     ],
     "order_refund_info": [
@@ -225,7 +250,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "l_returnflag = 'R'",
             "insert",
             _map(
-                id=f"concat('r', {_LINE_ID}, '-', l_partkey, '-', l_suppkey)",
+                id="concat('r', line, '-', l_partkey, '-', l_suppkey)",
                 user_id="l_orderkey % 1000",
                 order_id="l_orderkey",
                 sku_id="l_partkey",
@@ -234,10 +259,10 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
                 refund_amount=_dec("l_extendedprice"),
                 refund_reason_type="1 + l_partkey % 5",
                 refund_reason_txt="l_linestatus",
-                create_time=_text(_LINE_LATER),
+                create_time=_text("later"),
             ),
             _NO_OLD,
-            _LINE_LATER,
+            "later",
         )
     ],
     "refund_payment": [
@@ -246,16 +271,16 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "l_returnflag = 'R' and l_suppkey % 2 = 0",
             "update",
             _map(
-                id=f"concat('p', {_LINE_ID}, '-', l_partkey, '-', l_suppkey)",
+                id="concat('p', line, '-', l_partkey, '-', l_suppkey)",
                 order_id="l_orderkey",
                 sku_id="l_partkey",
                 payment_type="1 + l_suppkey % 5",
-                callback_time=_text(f"timestampadd(SECOND, 120, {_LINE_LATER})"),
+                callback_time=_text("timestampadd(SECOND, 120, later)"),
                 total_amount=_dec("l_extendedprice"),
                 refund_status="if(l_linenumber % 2 = 0, '0702', '0701')",
             ),
             "map('refund_status', '0701')",
-            f"timestampadd(SECOND, 120, {_LINE_LATER})",
+            "timestampadd(SECOND, 120, later)",
         )
     ],
     "cart_info": [
@@ -266,16 +291,16 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             _map(
                 id="event_id",
                 user_id="user_id",
-                sku_id=_K,
+                sku_id="k",
                 cart_price=_dec("value"),
-                sku_num=f"{_K} % 5 + 1",
-                sku_name=f"concat('sku ', {_K})",
+                sku_num="k % 5 + 1",
+                sku_name=f"concat('sku ', k)",
                 create_time="date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
                 operate_time="if(event_type = 'purchase', date_format(timestampadd(SECOND, 30, ts), 'yyyy-MM-dd HH:mm:ss'), null)",
-                source_type=f"1 + {_K} % 5",
+                source_type=f"1 + k % 5",
                 source_id="event_id % 10",
             ),
-            f"if(event_type = 'purchase', map('sku_num', if({_K} % 7 = 0, null, cast(user_id % 6 as string))), {_NO_OLD})",
+            f"if(event_type = 'purchase', map('sku_num', if(k % 7 = 0, null, cast(user_id % 6 as string))), {_NO_OLD})",
             "ts",
         )
     ],
@@ -286,7 +311,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "if(event_type = 'view', 'insert', 'update')",
             _map(
                 id="event_id",
-                coupon_id=f"{_K} % 8",
+                coupon_id=f"k % 8",
                 user_id="user_id",
                 order_id="event_id % 1000",
                 get_time="if(event_type = 'view', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), null)",
@@ -308,9 +333,9 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             _map(
                 id="event_id",
                 user_id="user_id",
-                sku_id=_K,
+                sku_id="k",
                 create_time="date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
-                is_cancel=f"{_K} % 2",
+                is_cancel=f"k % 2",
             ),
             _NO_OLD,
             "ts",
@@ -324,10 +349,10 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             _map(
                 id="event_id",
                 user_id="user_id",
-                sku_id=_K,
+                sku_id="k",
                 order_id="event_id % 1000",
                 create_time="date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
-                appraise=f"1 + {_K} % 5",
+                appraise=f"1 + k % 5",
             ),
             _NO_OLD,
             "ts",
@@ -341,10 +366,10 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             _map(
                 id="c_custkey",
                 name="c_name",
-                create_time=_text(f"timestampadd(SECOND, (c_custkey * 977) % 2592000, {_START})"),
+                create_time=_text("made"),
             ),
             _NO_OLD,
-            f"timestampadd(SECOND, (c_custkey * 977) % 2592000, {_START})",
+            "made",
         )
     ],
     "sku_info": [
@@ -440,27 +465,37 @@ DIMENSION_TABLES = (
 )
 
 
-def changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
-    """Row-change records of the named tables (all by default)."""
+@lru_cache(maxsize=512)
+def _changes_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parts = []
-    for name in tables or tuple(_CHANGES):
-        for source, rule, kind, data, old, when in _CHANGES[name]:
-            kind = kind if kind.startswith("if") else f"'{kind}'"
-            parts.append(
-                table(spark, sf_dir, source)
-                .where(rule)
-                .selectExpr(
-                    f"'{SHOP}' as database",
-                    f"'{name}' as table",
-                    f"{kind} as type",
-                    f"{_epoch(when)} as ts",
-                    f"{data} as data",
-                    f"{old} as old",
-                )
+    for source, rule, kind, data, old, when in _CHANGES[name]:
+        kind = kind if kind.startswith("if") else f"'{kind}'"
+        rows = table(spark, sf_dir, source).where(rule)
+        for column, made_as in _PREPARED.get(source, []):
+            rows = rows.withColumn(column, F.expr(made_as))
+        parts.append(
+            rows.selectExpr(
+                f"'{SHOP}' as database",
+                f"'{name}' as table",
+                f"{kind} as type",
+                f"{_epoch(when)} as ts",
+                f"{data} as data",
+                f"{old} as old",
             )
+        )
     return reduce(DataFrame.unionByName, parts)
 
 
+def changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """Row-change records of the named tables (all by default) as one feed."""
+    return reduce(DataFrame.unionByName, [_changes_of(spark, sf_dir, n) for n in tables or _CHANGES])
+
+
+def feeds(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    """The same records, one feed per table."""
+    return {n: _changes_of(spark, sf_dir, n) for n in tables}
+
+
 def change_lines(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     """The same records as JSON text."""
     rows = changes(spark, sf_dir, *tables)

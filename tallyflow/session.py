@@ -18,6 +18,9 @@ JOB_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes; without this limit a wide
+    # fact's generated loop would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 #: Keyed stream operators keep timers and list state, which need RocksDB.
