@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -61,3 +61,9 @@ def seconds(duration: str) -> int:
     number, unit = duration.split()
     sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
     return int(number) * sizes[unit.rstrip("s")]
+
+
+def watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """A watermark for streams, unless an operator before has set one already."""
+    known = "spark.watermarkDelayMs" in df.schema[ts].metadata
+    return df.withWatermark(ts, delay) if df.isStreaming and not known else df

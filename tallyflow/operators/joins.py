@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import seconds
+from ..functions.timefmt import seconds, watermarked
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, take: dict[str, str], how: str = "inner") -> DataFrame:
@@ -77,6 +77,6 @@ def stream_join(
     delay: str = "2 seconds",
 ) -> DataFrame:
     """The same join for two streams; the time bound also bounds the join state."""
-    l_side = left.withWatermark(ts, delay)
-    r_side = right.withWatermark(right_ts, delay)
+    l_side = watermarked(left, ts, delay)
+    r_side = watermarked(right, right_ts, delay)
     return l_side.join(r_side, on & within(F.col(ts), F.col(right_ts), before, after), how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import stamp_text
+from ..functions.timefmt import stamp_text, watermarked
 
 WINDOW = "10 seconds"
 DELAY = "2 seconds"
@@ -21,10 +21,6 @@ def amount(col: Column | str) -> Column:
     return F.round((F.col(col) if isinstance(col, str) else col).cast("double"), 2)
 
 
-def _event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
-    return df.withWatermark(ts, delay) if df.isStreaming else df
-
-
 def _with_bounds(df: DataFrame) -> list[Column]:
     return [stamp_text(F.col("window.start")).alias("stt"), stamp_text(F.col("window.end")).alias("edt")]
 
@@ -42,7 +38,7 @@ def window_sums(
     Without keys the window itself is the group; partial sums are made in every
     input task, so one window does not mean one busy task.
     """
-    grouped = _event_time(df, ts, delay).groupBy(F.window(ts, length), *keys)
+    grouped = watermarked(df, ts, delay).groupBy(F.window(ts, length), *keys)
     totals = grouped.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     return totals.select(*_with_bounds(totals), *keys, *sums)
 
@@ -63,7 +59,7 @@ def window_distinct(
     ever gathered, and streams may run it too.
     """
     sums = sums or {}
-    per_item = _event_time(df, ts, delay).groupBy(F.window(ts, length), *keys, item)
+    per_item = watermarked(df, ts, delay).groupBy(F.window(ts, length), *keys, item)
     per_item = per_item.agg(*[F.sum(c).alias(n) for n, c in sums.items()], F.count(F.lit(1)).alias("_n"))
     if df.isStreaming:
         again = F.window(F.window_time("window"), length)

@@ -203,8 +203,8 @@ def unique_visitors(pages: DataFrame) -> DataFrame:
     entries = pages.where(P.entry_page())
     day = day_text(at("ts"))
     if entries.isStreaming:
-        timed = entries.select("*", F.col("common.mid").alias("_mid"), day.alias("_day"), at("ts").alias("_rt"))
-        return S.day_openers(timed, "_mid", "_day", "_rt").select(*pages.columns)
+        timed = entries.select("*", F.col("common.mid").alias("visitor"), day.alias("day"), at("ts").alias("rt"))
+        return S.day_openers(timed, "visitor", "day", "rt").select(*pages.columns)
     return K.day_firsts(entries, "common.mid", day, ["ts"])
 
 

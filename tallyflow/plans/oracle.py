@@ -636,3 +636,33 @@ _metric(
     f"""select 'order' as trade_type, {_total('order_new_user_count', 'win_order').replace(' from', ' as user_ct from', 1)}
     union all select 'payment', {_total('payment_suc_new_user_count', 'win_payment')}""",
 )
+
+# --- streams: the same results as over tables --------------------------------
+for _name, _same in (
+    ("stream_window", "win_ten_seconds"),
+    ("stream_daily_unique", "daily_unique_visitor"),
+    ("stream_bounce", "bounce_detail"),
+    ("stream_interval_join", "interval_join"),
+    ("stream_lookup_join", "lookup_join"),
+    ("stream_login", "win_login"),
+    ("stream_page_uv", "win_page_uv"),
+    ("stream_keyword", "win_keyword"),
+    ("stream_coupon_order", "cdc_transition"),
+    ("stream_dimensions", "dim_upsert_latest"),
+):
+    ORACLE[_name] = ORACLE[_same]
+_traffic("stream_new_flag", "select event_id, mid, is_new from fixed_all")
+_traffic("stream_dedup_first", "select distinct mid || '|' || dt as id from logs")
+_traffic("stream_dedup_last", "select mid || '|' || dt as id, max(event_id) as event_id from logs group by 1")
+ORACLE["stream_upsert"] = """
+select user_id, max(event_id) as event_id, max_by(event_type, event_id) as event_type from events group by user_id
+"""
+_traffic(
+    "stream_log_fan_out",
+    f"""select target, {_big('count(*)')} as n from (
+      select case when start is null then 'page' else 'start' end as target from good
+      union all select 'error' from good where err is not null
+      union all select 'display' from (select unnest(range(n_displays)) from good where start is null)
+      union all select 'action' from (select unnest(range(n_actions)) from good where start is null))
+    group by target""",
+)

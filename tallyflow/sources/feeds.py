@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.timefmt import at
+from ..functions.timefmt import at, watermarked
 from ..operators.parse import clean_rows
 
 
@@ -51,8 +51,7 @@ def change_rows(lines: DataFrame) -> DataFrame:
 
 def with_event_time(logs: DataFrame, delay: str = "2 seconds") -> DataFrame:
     """Adds `rt` from `ts`, and the watermark on a stream."""
-    timed = logs.withColumn("rt", at("ts"))
-    return timed.withWatermark("rt", delay) if logs.isStreaming else timed
+    return watermarked(logs.withColumn("rt", at("ts")), "rt", delay)
 
 
 def captured_routing(lines: DataFrame) -> DataFrame:

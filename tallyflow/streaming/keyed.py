@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.timefmt import seconds
+from ..functions.timefmt import seconds, watermarked
 
-_MS = "_ms"
+# Row tuples rename columns that start with an underscore, so none here does.
+_MS = "event_ms"
 
 
-def _state(name: str, kind: str) -> T.StructType:
-    return T.StructType.fromDDL(f"{name} {kind}")
+def _state(name: str, kind: T.DataType) -> T.StructType:
+    # Built without the DDL parser, which needs a session that workers lack.
+    return T.StructType([T.StructField(name, kind)])
 
 
 def _run(df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts: str, delay: str) -> DataFrame:
     """Group a timed stream by key and run the processor on event time."""
-    timed = df.withColumn(_MS, F.unix_millis(ts)).withWatermark(ts, delay)
+    timed = watermarked(df.withColumn(_MS, F.unix_millis(ts)), ts, delay)
     fields = [f for f in timed.schema.fields if f.name != _MS]
     schema = T.StructType(fields + list(T.StructType.fromDDL(extra).fields if extra else []))
     processor.columns = schema.names
@@ -61,7 +63,7 @@ class DayOpeners(_Base):
         self.day = day
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", _state("day", "string"))
+        self.last = handle.getValueState("last", _state("day", T.StringType()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         best: pd.DataFrame | None = None
@@ -96,7 +98,7 @@ class NewFlagRepair(_Base):
         self.zone = zone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", _state("day", "string"))
+        self.first = handle.getValueState("first", _state("day", T.StringType()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = self.first.get()[0] if self.first.exists() else None
@@ -132,16 +134,19 @@ class Bounces(_Base):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         held = T.StructType([T.StructField("rows", T.ArrayType(self.schema))])
-        self.waiting = handle.getMapState("waiting", _state("ms", "bigint"), held)
+        self.waiting = handle.getMapState("waiting", _state("ms", T.LongType()), held)
         self.pending = handle.getValueState("pending", self.schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for chunk in rows:
             records = chunk[self.schema.names].astype(object).where(chunk.notna(), None)
-            at = self.schema.names.index(_MS)
+            at, entry = self.schema.names.index(_MS), self.schema.names.index(self.entry)
             by_time: dict[int, list] = {}
             for row in records.itertuples(index=False, name=None):
                 by_time.setdefault(int(row[at]), []).append(row)
+                if row[entry]:
+                    # Set now: a timer set while timers fire would wait a batch.
+                    self.handle.registerTimer(int(row[at]) + self.gap)
             for ms, together in by_time.items():
                 if self.waiting.containsKey((ms,)):
                     together = [tuple(r) for r in self.waiting.getValue((ms,))[0]] + together
@@ -164,8 +169,6 @@ class Bounces(_Base):
             if pending is not None and (row[at] - pending[at] >= self.gap or row[entry]):
                 done.append(pending)
             pending = row if row[entry] else None
-            if pending is not None:
-                self.handle.registerTimer(int(row[at]) + self.gap)
         if pending is not None and now >= pending[at] + self.gap:
             done.append(pending)
             pending = None
@@ -224,4 +227,4 @@ def last_wins(df: DataFrame, key: str, version: str, ts: str, hold: str = "5 sec
 
 def first_wins(df: DataFrame, key: str, ts: str, ttl: str = "5 seconds") -> DataFrame:
     """First-wins de-dup; Spark's own operator, the delay being the memory."""
-    return df.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
+    return watermarked(df, ts, ttl).dropDuplicatesWithinWatermark([key])

@@ -78,7 +78,7 @@ def main() -> None:
             diff = compare(df, sf_dir, oracles[name]) if name in oracles else f"no oracle, {df.count()} rows"
         except Exception as err:  # report and go on with the other queries
             diff = f"{type(err).__name__}: {str(err)[:600]}"
-        print(f"{'ok  ' if diff is None else 'DIFF'} {name} {time.time() - start:.1f}s {diff or ''}", flush=True)
+        print(f"\n{'ok  ' if diff is None else 'DIFF'} {name} {time.time() - start:.1f}s {diff or ''}", flush=True)
     spark.stop()
 
 
