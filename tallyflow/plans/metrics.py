@@ -41,9 +41,12 @@ def _first_wins(rows: DataFrame, ts: str, order: list) -> DataFrame:
     return K.first_per(rows, "id", order)
 
 
-def _last_wins(rows: DataFrame, key: str, ts: str, order: list) -> DataFrame:
+def _last_wins(rows: DataFrame, key: str, order: list, deduplicated: bool) -> DataFrame:
+    if deduplicated:
+        return rows
     if rows.isStreaming:
-        return S.last_wins(rows, key, "row_op_ts", ts)
+        # It gives rows out behind the watermark, so windows need a query of their own.
+        raise ValueError("run streaming.keyed.last_wins first, as its own query, and pass deduplicated=True")
     return K.last_per(rows, key, ["row_op_ts", *order])
 
 
@@ -118,11 +121,13 @@ def order(details: DataFrame, length: str = WINDOW) -> DataFrame:
     return totals.select(*[amount(c).alias(c) if c.endswith("amount") else c for c in totals.columns])
 
 
-def payment(paid: DataFrame, length: str = WINDOW, include_returning: bool = False) -> DataFrame:
+def payment(
+    paid: DataFrame, length: str = WINDOW, include_returning: bool = False, deduplicated: bool = False
+) -> DataFrame:
     """Paying users.  A user counts only at the first payment ever, so both
     counts agree; `include_returning` counts once per day instead."""
     rows = paid.withColumn("rt", parse_stamp("callback_time"))
-    lines = _last_wins(rows, "order_detail_id", "rt", ["callback_time", "sku_id", "sku_num"]).select(
+    lines = _last_wins(rows, "order_detail_id", ["callback_time", "sku_id", "sku_num"], deduplicated).select(
         "user_id", "order_detail_id", "rt", leading_day("callback_time").alias("day")
     )
     users = _openers(lines, "user_id", "day", "rt", ["rt", "order_detail_id"])
@@ -135,10 +140,16 @@ def payment(paid: DataFrame, length: str = WINDOW, include_returning: bool = Fal
     return window_sums(users, "rt", sums, length=length)
 
 
-def province_order(details: DataFrame, dims: dict[str, DataFrame], length: str = WINDOW, how: str = "inner") -> DataFrame:
+def province_order(
+    details: DataFrame,
+    dims: dict[str, DataFrame],
+    length: str = WINDOW,
+    how: str = "inner",
+    deduplicated: bool = False,
+) -> DataFrame:
     """Orders per province; the name is joined after the aggregate."""
     rows = details.withColumn("rt", parse_stamp("create_time"))
-    lines = _last_wins(rows, "id", "rt", ["create_time", "sku_id", "sku_num", "order_price"]).select(
+    lines = _last_wins(rows, "id", ["create_time", "sku_id", "sku_num", "order_price"], deduplicated).select(
         "province_id", "order_id", "rt", money("split_total_amount").alias("paid")
     )
     totals = window_distinct(

@@ -27,8 +27,16 @@ def _state(name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind)])
 
 
-def _run(df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts: str, delay: str) -> DataFrame:
-    """Group a timed stream by key and run the processor on event time."""
+def _run(
+    df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts: str, delay: str, holds: bool = False
+) -> DataFrame:
+    """Group a timed stream by key and run the processor on event time.
+
+    A processor that `holds` rows lets them go when the watermark has passed
+    them.  Such rows must not flow into another stateful operator of the same
+    query, so their time column is not handed on: write them out, and read them
+    in a query of its own whose delay covers the hold.
+    """
     timed = watermarked(df.withColumn(_MS, F.unix_millis(ts)), ts, delay)
     fields = [f for f in timed.schema.fields if f.name != _MS]
     schema = T.StructType(fields + list(T.StructType.fromDDL(extra).fields if extra else []))
@@ -38,7 +46,7 @@ def _run(df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts:
         outputStructType=schema,
         outputMode="Append",
         timeMode="EventTime",
-        eventTimeColumnName=ts,
+        eventTimeColumnName="" if holds else ts,
     )
 
 
@@ -184,7 +192,7 @@ def bounces(df: DataFrame, key: str, entry: str, ts: str, gap: str = "10 seconds
     """Stream form of `operators.keyed.bounces`; `entry` is a boolean column."""
     fields = [*df.schema.fields, T.StructField(_MS, T.LongType())]
     processor = Bounces(T.StructType(fields), entry, seconds(gap) * 1000)
-    return _run(df, key, processor, "", ts, delay)
+    return _run(df, key, processor, "", ts, delay, holds=True)
 
 
 class LastWins(_Base):
@@ -222,7 +230,7 @@ def last_wins(df: DataFrame, key: str, version: str, ts: str, hold: str = "5 sec
     """Stream form of last-wins de-dup; the hold runs on event time `ts`."""
     fields = [*df.schema.fields, T.StructField(_MS, T.LongType())]
     processor = LastWins(T.StructType(fields), version, seconds(hold) * 1000)
-    return _run(df, key, processor, "", ts, delay)
+    return _run(df, key, processor, "", ts, delay, holds=True)
 
 
 def first_wins(df: DataFrame, key: str, ts: str, ttl: str = "5 seconds") -> DataFrame:
