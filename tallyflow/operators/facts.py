@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import predicates as P
 from ..functions.timefmt import date_id
-from .joins import with_dictionary
+from .joins import hot_key_join, with_dictionary
 from .keyed import last_per
 
 
@@ -100,43 +100,41 @@ def _change_time() -> Column:
     return F.timestamp_seconds(F.col("ts").try_cast("bigint"))
 
 
+_ACTIVITY = {"activity_id": "activity_id", "activity_rule_id": "activity_rule_id", "order_detail_activity_id": "id"}
+_COUPON = {"coupon_id": "coupon_id", "coupon_use_id": "coupon_use_id", "order_detail_coupon_id": "id"}
+
+
+def _line_extras(activity: DataFrame, coupon: DataFrame) -> DataFrame:
+    """Newest activity and coupon of each order line, in one aggregate."""
+
+    def version(columns: dict[str, str]) -> Column:
+        return F.struct(P.new("create_time").alias("made"), *[P.new(k).alias(n) for n, k in columns.items()])
+
+    a = activity.select(P.new("order_detail_id").alias("id"), version(_ACTIVITY).alias("activity"))
+    c = coupon.select(P.new("order_detail_id").alias("id"), version(_COUPON).alias("coupon"))
+    both = a.unionByName(c, allowMissingColumns=True).groupBy("id")
+    newest = both.agg(F.max("activity").alias("activity"), F.max("coupon").alias("coupon"))
+    return newest.select(
+        "id", *[F.col(f"activity.{n}") for n in _ACTIVITY], *[F.col(f"coupon.{n}") for n in _COUPON]
+    )
+
+
 def order_wide(changes: Changes, dictionary: DataFrame, database: str | None = None) -> DataFrame:
     """Wide order lines, one row per (line, order version).
 
     Activity and coupon rows are read as keyed tables (latest row per line), so
-    a replayed change cannot multiply lines.  They share the line id, hence one
-    shuffle serves both; the order columns are joined last and move once.
+    a replayed change cannot multiply lines.  They are brought together first,
+    narrow as they are, so the lines are shuffled once for both; the order
+    columns are joined last and move once.
     `row_op_ts` is the time of the newest change a row was made from.
     """
     lines = changes_of(changes, "order_detail", "insert", database=database).select(
         *fields(*schemas.ORDER_DETAIL_KEYS), _change_time().alias("_line_ts")
     )
-    activity = last_per(
-        changes_of(changes, "order_detail_activity", "insert", database=database).select(
-            *fields(
-                "activity_id",
-                "activity_rule_id",
-                _line="order_detail_id",
-                _made="create_time",
-                order_detail_activity_id="id",
-            )
-        ),
-        "_line",
-        ["_made", "activity_id", "activity_rule_id", "order_detail_activity_id"],
-    ).drop("_made")
-    coupon = last_per(
-        changes_of(changes, "order_detail_coupon", "insert", database=database).select(
-            *fields(
-                "coupon_id",
-                "coupon_use_id",
-                _line="order_detail_id",
-                _made="create_time",
-                order_detail_coupon_id="id",
-            )
-        ),
-        "_line",
-        ["_made", "coupon_id", "coupon_use_id", "order_detail_coupon_id"],
-    ).drop("_made")
+    extras = _line_extras(
+        changes_of(changes, "order_detail_activity", "insert", database=database),
+        changes_of(changes, "order_detail_coupon", "insert", database=database),
+    )
     order_keys = [k for k in schemas.ORDER_INFO_KEYS if k not in ("id", "create_time")]
     orders = changes_of(changes, "order_info", "insert", "update", database=database).select(
         *fields(*order_keys, _order="id"), "type", "old", _change_time().alias("_order_ts")
@@ -144,9 +142,8 @@ def order_wide(changes: Changes, dictionary: DataFrame, database: str | None = N
     named = with_dictionary(
         lines.withColumnRenamed("source_type", "source_type_id"), dictionary, "source_type_id", "source_type_name"
     )
-    extended = named.withColumnRenamed("id", "_line").join(activity, "_line", "left").join(coupon, "_line", "left")
     return (
-        extended.withColumnRenamed("_line", "id")
+        hot_key_join(named, extras, ["id"], "left")
         .join(orders, F.col("order_id") == F.col("_order"))
         .withColumn("row_op_ts", F.greatest("_line_ts", "_order_ts"))
         .select(*schemas.ORDER_WIDE)
@@ -231,8 +228,8 @@ def refunds_paid(changes: Changes, dictionary: DataFrame, strict: bool = False)
         [F.col("_at").try_cast("bigint"), "refund_num"],
     ).drop("_at")
     return (
-        named.join(orders, F.col("order_id") == F.col("_order"))
-        .join(requested, ["order_id", "sku_id"])
+        hot_key_join(named, requested, ["order_id", "sku_id"])
+        .join(orders, F.col("order_id") == F.col("_order"))
         .withColumn("row_op_ts", F.greatest("_paid_ts", "_order_ts"))
         .select(*schemas.REFUND_PAID)
     )

@@ -13,14 +13,26 @@ from pyspark.sql import functions as F
 from ..functions.timefmt import seconds, watermarked
 
 
+def hot_key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join to a side with one row per key, where one key may own much of `left`.
+
+    A right side that comes out of a per-key aggregate or window is already
+    partitioned by the keys.  Spark would join it as it lies, and AQE only splits
+    an overfull partition between two shuffles made for the join.  One more key,
+    derived from the others, asks for that shuffle; it changes no match.
+    """
+    tag = F.xxhash64(*keys)
+    return left.withColumn("_tag", tag).join(right.withColumn("_tag", tag), [*keys, "_tag"], how).drop("_tag")
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, take: dict[str, str], how: str = "inner") -> DataFrame:
     """Add `{source column: new column}` of `table` where its key equals `key`.
 
     `inner` drops rows without a match, as the feeds' lookup joins do; `left`
     keeps them with NULLs.
     """
-    side = table.select(F.col(table_key).alias("_k"), *[F.col(c).alias(n) for c, n in take.items()])
-    return df.join(side, F.col(key) == F.col("_k"), how).drop("_k")
+    side = table.select(F.col(table_key).alias(key), *[F.col(c).alias(n) for c, n in take.items()])
+    return hot_key_join(df, side, [key], how).select(*df.columns, *take.values())
 
 
 def with_dictionary(df: DataFrame, dictionary: DataFrame, code: str, name: str, how: str = "inner") -> DataFrame:

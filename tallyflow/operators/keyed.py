@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import hot_key_join
+
 
 def _cols(names) -> list[Column]:
     names = [names] if isinstance(names, (str, Column)) else names
@@ -80,29 +82,26 @@ def user_flags(df: DataFrame, key: str, day: str, ts: str, order, block: str = "
     return flagged.unionByName(rest)
 
 
-def repair_new_flag(logs: DataFrame, order=("ts",), shares: int = 16) -> DataFrame:
+def repair_new_flag(logs: DataFrame, order=("ts",)) -> DataFrame:
     """New-visitor flag repair per `common.mid`.
 
     A visitor's first row fixes the first-visit day: its own day when it says
     new, the day before when it does not.  A later row that says new on another
-    day is set to old.  The first day is one row per visitor; it is looked up by
-    (visitor, share) so that a busy visitor's rows spread over `shares` groups.
+    day is set to old.  The first day is one narrow row per visitor, found with
+    partial sums, and joined back so that a busy visitor can be split.
     """
     mid, flag = F.col("common.mid"), F.col("common.is_new")
-    # Day numbers rather than text: only equality matters and longs stay cheap.
     day = F.to_date(F.timestamp_millis("ts"))
-    order_key = F.struct(*_cols(order))
     opened = F.when(flag == "1", day).otherwise(F.date_sub(day, 1))
+    order_key = _cols(order)[0] if len(order) == 1 else F.struct(*_cols(order))
     firsts = (
         logs.select(mid.alias("_mid"), opened.alias("_opened"), order_key.alias("_order"))
         .groupBy("_mid")
         .agg(F.min_by("_opened", "_order").alias("_opened"))
-        .withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
-    keyed = logs.withColumn("_mid", mid).withColumn("_share", F.pmod(F.xxhash64(order_key), F.lit(shares)).cast("int"))
     fixed = F.when((flag == "1") & (day != F.col("_opened")), "0").otherwise(flag)
     return (
-        keyed.join(firsts, ["_mid", "_share"], "left")
+        hot_key_join(logs.withColumn("_mid", mid), firsts, ["_mid"], "left")
         .withColumn("common", F.col("common").withField("is_new", fixed))
         .select(*logs.columns)
     )

@@ -365,7 +365,6 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "insert",
             _map(
                 id="c_custkey",
-                name="c_name",
                 create_time=_text("made"),
             ),
             _NO_OLD,

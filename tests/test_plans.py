@@ -37,3 +37,37 @@ def test_filters_reach_the_scan(spark, sf_dir):
         QUERIES["cdc_changed_to"](spark, sf_dir)
     )
     assert "EqualTo(l_returnflag,R)" in plan(QUERIES["refund_detail"](spark, sf_dir))
+
+
+def test_hot_key_is_split(spark):
+    """One key owns most rows and the other side is an aggregate: AQE splits it."""
+    from pyspark.sql import functions as F
+
+    from tallyflow.operators.joins import hot_key_join
+    from tallyflow.operators.keyed import repair_new_flag
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 10 < 6, 0, id % 1000) as k", "id", "uuid() as pad")
+        one = rows.groupBy("k").agg(F.min("id").alias("first"))
+        joined = hot_key_join(rows, one, ["k"])
+        logs = rows.selectExpr(
+            "named_struct('mid', cast(k as string), 'is_new', '1') as common", "id * 1000 as ts", "pad"
+        )
+        for df in (joined, repair_new_flag(logs)):
+            total = df.agg(F.count("pad").alias("n"))
+            assert total.first()["n"] == 200_000
+            total.collect()
+            assert "skew=true" in plan(total)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
