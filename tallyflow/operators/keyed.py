@@ -128,27 +128,27 @@ def _in_blocks(df: DataFrame, ms: Column, gap: int, ahead: bool) -> DataFrame:
     )
 
 
-def bounces(pages: DataFrame, key, entry: Column, ms: str, order, gap_ms: int = 10_000) -> DataFrame:
-    """Entry pages followed by another entry page within the gap, or by nothing.
-
-    A follower exactly `gap_ms` later counts as too late, so the page bounced.
-    """
+def mark_bounces(pages: DataFrame, key, entry: Column, ms: str, order, gap_ms: int = 10_000) -> DataFrame:
+    """Adds `bounced`: an entry page followed, within the gap, by another entry
+    page or by nothing.  A follower exactly `gap_ms` later is too late."""
     keys, order = _cols(key), _cols(order)
     marked = _in_blocks(pages.withColumn("_entry", entry), F.col(ms), gap_ms, ahead=True)
     spec = Window.partitionBy(*keys, "_block").orderBy(*order)
     follower = F.lead(F.struct(F.col(ms).alias("ms"), F.col("_entry").alias("entry"))).over(spec)
-    jumped = (
-        F.col("_next").isNull()
-        | (F.col("_next.ms") - F.col(ms) >= gap_ms)
-        | F.col("_next.entry")
-    )
+    alone = F.col("_next").isNull() | (F.col("_next.ms") - F.col(ms) >= gap_ms) | F.col("_next.entry")
     return (
         marked.withColumn("_next", follower)
-        .where(F.col("_entry") & ~F.col("_lent") & jumped)
+        .where(~F.col("_lent"))
+        .withColumn("bounced", F.col("_entry") & alone)
         .drop("_entry", "_next", "_block", "_lent")
     )
 
 
+def bounces(pages: DataFrame, key, entry: Column, ms: str, order, gap_ms: int = 10_000) -> DataFrame:
+    """The bounced entry pages."""
+    return mark_bounces(pages, key, entry, ms, order, gap_ms).where("bounced").drop("bounced")
+
+
 def first_wins_within(df: DataFrame, key, ms: str, order, ttl_ms: int = 5_000) -> DataFrame:
     """De-dup whose memory of a key fades `ttl_ms` after the key was last seen."""
     keys, order = _cols(key), _cols(order)

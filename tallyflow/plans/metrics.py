@@ -7,7 +7,7 @@ stream waits for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -87,11 +87,7 @@ def original_amount() -> Column:
 
 
 def order(details: DataFrame, length: str = WINDOW) -> DataFrame:
-    """Ordering users and order amounts.
-
-    Amounts need no user, so they are summed straight into windows; only the
-    first row of a user's day is ordered by user.
-    """
+    """Ordering users and order amounts."""
     zero = F.lit(0).cast("decimal(28,2)")
     lines = _order_lines(details).select(
         "user_id",
@@ -102,14 +98,7 @@ def order(details: DataFrame, length: str = WINDOW) -> DataFrame:
         F.coalesce(money("split_coupon_amount"), zero).alias("coupon"),
         original_amount().cast("decimal(28,2)").alias("original"),
     )
-    none = F.lit(0).cast("bigint")
-    amounts = lines.select("rt", none.alias("users"), none.alias("fresh"), "activity", "coupon", "original")
-    users = _openers(lines.select("user_id", "id", "rt", "day"), "user_id", "day", "rt", ["rt", "id"]).select(
-        "rt",
-        _one().alias("users"),
-        _flag(F.col("is_first")).alias("fresh"),
-        *[zero.alias(n) for n in ("activity", "coupon", "original")],
-    )
+    rows = _order_marks_stream(lines) if details.isStreaming else _order_marks(lines, length)
     sums = {
         "order_unique_user_count": F.col("users"),
         "order_new_user_count": F.col("fresh"),
@@ -117,10 +106,41 @@ def order(details: DataFrame, length: str = WINDOW) -> DataFrame:
         "order_coupon_reduce_amount": F.col("coupon"),
         "order_origin_total_amount": F.col("original"),
     }
-    totals = window_sums(amounts.unionByName(users), "rt", sums, length=length)
+    totals = window_sums(rows, "rt", sums, length=length)
     return totals.select(*[amount(c).alias(c) if c.endswith("amount") else c for c in totals.columns])
 
 
+_AMOUNTS = ("activity", "coupon", "original")
+
+
+def _order_marks(lines: DataFrame, length: str) -> DataFrame:
+    """One row per user, day and window, in one pass over the lines.
+
+    The first line of a user's day lies in the first window of that day, so the
+    windows, which are few however busy the user, are compared and not the lines.
+    """
+    start = F.window("rt", length)["start"].alias("rt")
+    per_window = lines.groupBy("user_id", "day", start).agg(*[F.sum(a).alias(a) for a in _AMOUNTS])
+    past = F.lag("day").over(Window.partitionBy("user_id").orderBy("rt", "day"))
+    return per_window.withColumn("_past", past).select(
+        "rt",
+        _flag(~F.col("_past").eqNullSafe(F.col("day"))).alias("users"),
+        _flag(F.col("_past").isNull()).alias("fresh"),
+        *_AMOUNTS,
+    )
+
+
+def _order_marks_stream(lines: DataFrame) -> DataFrame:
+    """The stream form: amounts as they are, users through keyed state."""
+    none, zero = F.lit(0).cast("bigint"), F.lit(0).cast("decimal(28,2)")
+    amounts = lines.select("rt", none.alias("users"), none.alias("fresh"), *_AMOUNTS)
+    openers = _openers(lines.select("user_id", "id", "rt", "day"), "user_id", "day", "rt", ["rt", "id"])
+    users = openers.select(
+        "rt", _one().alias("users"), _flag(F.col("is_first")).alias("fresh"), *[zero.alias(a) for a in _AMOUNTS]
+    )
+    return amounts.unionByName(users)
+
+
 def payment(
     paid: DataFrame, length: str = WINDOW, include_returning: bool = False, deduplicated: bool = False
 ) -> DataFrame:
@@ -241,20 +261,28 @@ def _measures(rows: DataFrame, uv=0, sv=0, pv=0, dur=0, uj=0) -> DataFrame:
     )
 
 
+def _traffic_sums(rows: DataFrame, length: str, delay: str) -> DataFrame:
+    sums = {n: F.col(n) for n in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")}
+    return window_sums(rows, "rt", sums, _VISIT_KEYS, length, delay)
+
+
 def traffic(
     pages: DataFrame, visitors: DataFrame, jumps: DataFrame, length: str = WINDOW, delay: str = "14 seconds"
 ) -> DataFrame:
     """Visitors, sessions, pages, time and jumps per version, channel, area, is_new.
 
-    The delay covers the time a jump waits for its follower.
+    From three topics; the delay covers the time a jump waits for its follower.
     """
-    seen = _measures(pages, sv=F.when(P.entry_page(), 1).otherwise(0), pv=1, dur=F.col("page.during_time"))
+    seen = _measures(pages, sv=_flag(P.entry_page()), pv=1, dur=F.col("page.during_time"))
     rows = seen.unionByName(_measures(visitors, uv=1)).unionByName(_measures(jumps, uj=1))
-    sums = {n: F.col(n) for n in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")}
-    return window_sums(rows, "rt", sums, _VISIT_KEYS, length, delay)
+    return _traffic_sums(rows, length, delay)
 
 
 def traffic_of(pages: DataFrame, length: str = WINDOW, gap_ms: int = 10_000) -> DataFrame:
-    """`traffic` straight from a page table."""
+    """`traffic` straight from a page table; pages and jumps share one pass."""
     narrow = pages.select("common", "page", "ts")
-    return traffic(narrow, unique_visitors(narrow), user_jumps(narrow, gap_ms), length)
+    marked = K.mark_bounces(narrow, "common.mid", P.entry_page(), "ts", ["ts"], gap_ms)
+    seen = _measures(
+        marked, sv=_flag(P.entry_page()), pv=1, dur=F.col("page.during_time"), uj=_flag(F.col("bounced"))
+    )
+    return _traffic_sums(seen.unionByName(_measures(unique_visitors(narrow), uv=1)), length, "14 seconds")
