@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.keyed import last_per
+from ..session import work_folder
 
 _START = "timestamp_ntz'2024-01-01 00:00:00'"
 
@@ -502,6 +504,19 @@ def change_lines(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
 
 
 # --- dictionary, configuration, dimensions ---------------------------------
+def _stored(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Write a look-up table once and read it back, as the dimension job leaves it.
+
+    Planning then knows its true size: a small one is broadcast, a large one is
+    shuffled.  Derived in place from the fact tables, its size would be guessed
+    from theirs, and the facts shuffled by a key of a few values.
+    """
+    path = work_folder(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@lru_cache(maxsize=64)
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes 1, 2, 3, 5 from the order priorities; code 4 stays unknown."""
     priorities = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
@@ -512,7 +527,7 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(null as timestamp) as create_time",
         "cast(null as timestamp) as operate_time",
     )
-    return rows.where("dic_code <> '4'")
+    return _stored(spark, "base_dic", rows.where("dic_code <> '4'"))
 
 
 # source table, sink table, kept columns, key, extra clause
@@ -531,30 +546,28 @@ def routing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ROUTES, schemas.ROUTING)
 
 
-def dimensions(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Dimension tables in their current state, by short name.
+_SHORT = {
+    "sku": "sku_info",
+    "spu": "spu_info",
+    "trademark": "base_trademark",
+    "category3": "base_category3",
+    "category2": "base_category2",
+    "category1": "base_category1",
+    "province": "base_province",
+}
+_COLUMNS = {source: [c.strip() for c in columns.split(",")] for source, _, columns, _, _ in ROUTES}
 
-    Each is read from its own source and cut to the newest row per key, which
-    is what `operators.dims` builds from the change feed.
-    """
-    from ..operators.keyed import last_per
-
-    sources = {
-        "sku": "sku_info",
-        "spu": "spu_info",
-        "trademark": "base_trademark",
-        "category3": "base_category3",
-        "category2": "base_category2",
-        "category1": "base_category1",
-        "province": "base_province",
-    }
-    columns = {source: [c.strip() for c in cols.split(",")] for source, _, cols, _, _ in ROUTES}
-    out = {}
-    for short in names or tuple(sources):
-        source = sources[short]
-        rows = changes(spark, sf_dir, source).select(
-            *[F.col("data")[c].alias(c) for c in columns[source]], F.col("ts").cast("bigint").alias("_at")
-        )
-        rest = [c for c in columns[source] if c != "id"]
-        out[short] = last_per(rows, "id", ["_at", *rest]).drop("_at")
-    return out
+
+@lru_cache(maxsize=256)
+def _dimension(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    columns = _COLUMNS[source]
+    rows = changes(spark, sf_dir, source).select(
+        *[F.col("data")[c].alias(c) for c in columns], F.col("ts").cast("bigint").alias("_at")
+    )
+    newest = last_per(rows, "id", ["_at", *[c for c in columns if c != "id"]]).drop("_at")
+    return _stored(spark, source, newest)
+
+
+def dimensions(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Dimension tables in their current state, by short name: newest row per key."""
+    return {short: _dimension(spark, sf_dir, _SHORT[short]) for short in names or _SHORT}
