@@ -77,7 +77,7 @@ def dense_positions(df: DataFrame, groups: Sequence[str], order: Sequence[str],
         "_from",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
     )
-    found = F.expr(" and ".join(f"{g} <=> _{g}" for g in groups) + " and _part = _p")
+    found = F.expr(" and ".join([f"{g} <=> _{g}" for g in groups] + ["_part = _p"]))
     return at.join(offsets, found).withColumn(name, F.col("_before") + F.col("_at") - F.col("_from")).select(*df.columns, name)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, pii, quality, sharding, simhash
+from . import chunks, common, decontam, hmm, packing, pii, quality, sharding, simhash, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,33 @@ CAPACITY = 2048
 PII_KEY = "tallyflow-demo-key"
 
 
+def op1_pivot_distance_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    # Only finite components: what is not below infinity in size is infinite or no number.
+    sound = rows.where("e is not null and forall(e, x -> x is not null and abs(x) < double('infinity'))")
+    vectors = sound.select(
+        F.col("vec_id").cast("long").alias("id"),
+        F.expr("transform(e, x -> cast(floor(64 * x) as bigint))").alias("v"),
+        (F.col("vec_id") % 20 == 0).alias("asks"),
+    )
+    found = topk.top_k(vectors, k=20)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op2_hidden_markov_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    scored = hmm.score(docs, trains=common.crc_of_id() % 10 != 0)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("trains")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(common.table(spark, sf_dir, "documents"), TOKENIZER, RANKS, CAPACITY)
     return packed.withColumnRenamed("id", "doc_id")
@@ -41,6 +68,11 @@ def op6_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_gear_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.repeated_passages(common.table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", "n_bytes", "n_chunks", F.col("first_id").alias("first_doc_id"))
+
+
 def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contaminated(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -72,12 +104,33 @@ def op10_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_pivot_distance_top_k,
+        op2_hidden_markov_model,
         op3_sum_of_squares_packing,
         op5_feistel_pseudonyms,
         op6_bradley_terry_quality,
+        op7_gear_chunk_repeats,
         op8_spaced_seed_decontamination,
         op9_deletion_variant_simhash,
         op10_hash_tree_shards,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_pivot_distance_top_k": """
+        with q as (
+            select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as v
+            from embeddings
+            where embedding is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select a.vec_id as query_id, b.vec_id, list_inner_product(a.v, b.v)::bigint as score
+            from q a join q b on a.vec_id <> b.vec_id
+            where a.vec_id % 20 = 0
+        ),
+        ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 20
+    """,
+}
