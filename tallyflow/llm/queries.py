@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, common, decontam, hmm, packing, pii, quality, sharding, simhash, topk
+from . import chunks, common, decontam, hmm, packing, pii, quality, sharding, simhash, toolcalls, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,6 +47,59 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+#: The tools that conversations are read as calling: tool, field, type, required.
+TOOLS = [
+    ("search", "query", "string", True),
+    ("search", "limit", "integer", True),
+    ("search", "source", "object", False),
+    ("lookup", "query", "string", True),
+    ("lookup", "limit", "integer", False),
+    ("lookup", "source", "object", False),
+    ("compute", "query", "string", True),
+    ("compute", "limit", "number", True),
+    ("compute", "source", "object", True),
+]
+
+
+def tool_messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results read from conversations.
+
+    Line n of an assistant's turn is a call with the identifier
+    `conversation-turn-n`.  Its length tells its tool (one of them unknown) and
+    the shape of its limit.  It takes the result of line n/2 of its turn, the
+    first line that of the turn two before.  Line n of a user's turn is the result
+    of line n of the turn before.
+    """
+    lines = conversations.selectExpr("conv_id", "turn", "role", "posexplode(split(text, '\n')) as (n, line)")
+    calls = lines.where("role = 'assistant'").selectExpr(
+        "conv_id",
+        "turn",
+        "concat_ws('-', conv_id, turn, n) as call_id",
+        "element_at(array('search', 'lookup', 'compute', 'draw'), cast(length(line) % 4 as int) + 1) as name",
+        "concat_ws('-', conv_id, if(n = 0, turn - 2, turn), n div 2) as source",
+        "line",
+    )
+    limit = (
+        "case when length(line) % 7 = 0 then '' when length(line) % 11 = 0 then '\"limit\": \"all\", '"
+        " else concat('\"limit\": ', length(line), ', ') end"
+    )
+    arguments = (
+        "concat('{\"source\": {\"$from\": \"', source, '\"}, ', " + limit + ","
+        " '\"query\": ', substr(to_json(struct(line as q)), 6))"
+    )
+    results = lines.where("role = 'user'").selectExpr(
+        "conv_id", "turn", "concat_ws('-', conv_id, turn - 1, n) as call_id", "line as content"
+    )
+    return calls.selectExpr("conv_id", "turn", "call_id", "name", arguments + " as arguments"), results
+
+
+def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_messages(common.table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(TOOLS, "tool string, field string, type string, required boolean")
+    linked = toolcalls.link(calls, results, schemas)
+    return linked.withColumn("problems", F.array_join("problems", "; "))
+
+
 def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.with_pseudonyms(docs, "text", PII_KEY, count_col="n_replaced")
@@ -107,6 +160,7 @@ QUERIES = {
         op1_pivot_distance_top_k,
         op2_hidden_markov_model,
         op3_sum_of_squares_packing,
+        op4_tool_call_linking,
         op5_feistel_pseudonyms,
         op6_bradley_terry_quality,
         op7_gear_chunk_repeats,
@@ -118,10 +172,10 @@ QUERIES = {
 ORACLE = {
     "op1_pivot_distance_top_k": """
         with q as (
-            select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as v
+            select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
             from embeddings
             where embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ),
         scored as (
             select a.vec_id as query_id, b.vec_id, list_inner_product(a.v, b.v)::bigint as score
