@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: 1: the word counts, 0: any word will do.  All look at six words.  The second
-#: to fourth hit through every fifth, fourth or third word being replaced.
-MASKS = ("111111", "1111011", "1110111", "11011011", "1101100011")
+#: 1: the word counts, 0: any word will do.  All look at six words.  In every 13
+#: words of which 11 are equal, wherever the other two stand, one of them hits.
+MASKS = ("111111", "1111011", "1110111", "1011111", "11011011", "1101100011")
 
 #: Bits of the filter that documents are looked up in before the join: 2 MB at any size.
 FILTER_BITS = 1 << 24
@@ -165,18 +165,24 @@ def _find(batches: Iterator, masks: Sequence[str], wanted) -> Iterator:
 def overlaps(document, item, shift: int, window: int, similarity: float) -> list[tuple[int, int, int]]:
     """(first word, words, equal words) of the runs where `item` laid at `shift` matches the document.
 
-    A run is a union of windows of `window` words (the whole item, if shorter) in
-    which at least the share `similarity` of the words are equal.
+    A run is a union of windows of `window` words in which at least the share
+    `similarity` of the words are equal, or the whole item if it has that share.
+    An item shorter than a window must be there word by word.
     """
+    import math
+
     import numpy as np
 
     first, last = max(0, shift), min(len(document), shift + len(item))
     size = min(window, len(item))
     if last - first < size or size == 0:
         return []
+    needed = math.ceil(similarity * size - 1e-9) if len(item) >= window else size
     same = (document[first:last] == item[first - shift : last - shift]).astype(np.int64)
     total = np.concatenate([[0], np.cumsum(same)])
-    good = np.flatnonzero(total[size:] - total[:-size] >= similarity * size - 1e-9)
+    if last - first == len(item) >= window and total[-1] >= similarity * len(item) - 1e-9:
+        return [(first, len(item), int(total[-1]))]
+    good = np.flatnonzero(total[size:] - total[:-size] >= needed)
     found = []
     for run in np.split(good, np.flatnonzero(np.diff(good) > size) + 1) if len(good) else []:
         a, b = int(run[0]), int(run[-1]) + size
@@ -208,17 +214,18 @@ def contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     masks: Sequence[str] = MASKS,
-    window: int = 12,
+    window: int = 13,
     similarity: float = 0.8,
 ) -> DataFrame:
     """The benchmark passages in documents: `id`, `text_key`, `item`, `start`, `words`, `equal`.
 
     `start` and `words` are the run in the document, `equal` its words that are
     the item's; `text_key` is the text's hash, which with `id` tells the row.
-    A run needs windows of `window` words with the share `similarity` equal; an
-    item shorter than that must match as a whole.  Null and empty texts have no
-    words.  Items of fewer words than a mask looks over cannot be told from
-    chance and match nothing.  Repeated rows or items give repeated rows; null
+    A run needs windows of `window` words, or a whole item, with the share
+    `similarity` equal; an item shorter than a window must match word by word.
+    With the given masks no such window is missed.  Null and empty texts have no
+    words.  Items of fewer than six words cannot be told from chance and match
+    nothing.  Repeated rows or items give repeated rows; null
     ids stay null.  An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
