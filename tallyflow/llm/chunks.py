@@ -103,12 +103,12 @@ def _chunks(batches: Iterator) -> Iterator:
         )
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Every chunk of every row: `id`, `row` (tells rows apart), `n`, `start`, `length` in bytes, `digest`."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
     )
     return rows.mapInArrow(_chunks, "id long, row long, n int, start long, length int, digest long")
 
@@ -124,7 +124,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id come after all ids; null and empty texts have no chunks.  An empty table
     gives no rows.
     """
-    chunks = common.stored(chunk_table(docs, id_col, text_col), "chunks")
+    return passages_of(common.stored(chunk_table(docs, id_col, text_col), "chunks"), passage)
+
+
+def passages_of(chunks: DataFrame, passage: int = PASSAGE) -> DataFrame:
+    """The repeated passages of a chunk table, as in `repeated_passages`."""
     # Rows without an id count as one document after all others.
     place = F.coalesce("id", F.lit((1 << 63) - 1))
     seen = chunks.groupBy("digest").agg(F.min(place).alias("first_id"), F.max(place).alias("last_id"))
@@ -159,9 +163,10 @@ def _cut_out(batches: Iterator, at: int) -> Iterator:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
     """`docs` with every repeated passage cut out of the text, wherever a document with a smaller id keeps it."""
-    keyed = common.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    found = repeated_passages(keyed.withColumn("_id", F.coalesce(id_col, F.lit((1 << 63) - 1))), "_id", text_col, passage)
-    spans = common.stored(found, "spans")
-    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "n_bytes")).alias("_spans"))
-    joined = keyed.join(by_row, keyed["_row"] == by_row["row"], "left").select(*docs.columns, "_spans")
+    row, own, cut = (common.unused(docs, n) for n in ("_row", "_own", "_cut"))
+    keyed = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    numbered = keyed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(row).alias("row"))
+    spans = passages_of(common.stored(chunk_table(numbered, "id", "text", "row"), "chunks"), passage)
+    by_row = spans.groupBy(F.col("row").alias(own)).agg(F.collect_list(F.struct("start", "n_bytes")).alias(cut))
+    joined = keyed.join(by_row, F.col(row) == F.col(own), "left").select(*docs.columns, cut)
     return joined.mapInArrow(partial(_cut_out, at=docs.columns.index(text_col)), docs.schema)

@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def segments(distance: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of the fewest segments of which one differs by at most one bit."""
-    count = distance // 2 + 1
+    count = max(2, distance // 2 + 1)
     cuts = [BITS * i // count for i in range(count + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -121,9 +121,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Rows without an id stay only where their component has no id at all; of
     repeated rows with one id a single one stays.
     """
-    keyed = common.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    row = common.unused(docs, "_row")
+    keyed = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     # The row number plays the id, so that ties have one winner; ids decide first.
-    found = near_duplicates(keyed, "_row", text_col, **params).selectExpr("id as _row", "component")
-    sized = found.join(keyed.select("_row", F.col(id_col).alias("_id")), "_row")
-    winners = sized.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_row")).alias("w"))
-    return keyed.join(winners.selectExpr("w._row as _row"), "_row", "left_semi").drop("_row")
+    found = near_duplicates(keyed, row, text_col, **params).select(F.col("id").alias("at"), "component")
+    sized = found.join(keyed.select(F.col(row).alias("at"), F.col(id_col).cast("long").alias("own")), "at")
+    winners = sized.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("n"), "own", "at")).alias("w"))
+    return keyed.join(winners.select(F.col("w.at").alias(row)), row, "left_semi").select(*docs.columns)

@@ -91,9 +91,8 @@ def levels(edges: DataFrame) -> DataFrame:
     level = 1
     while True:
         followers = left.select("key").distinct()
-        free = left.groupBy("key").agg(F.max(F.col("before").isNotNull()).alias("any"))
         waits = left.join(followers.withColumnRenamed("key", "before"), "before", "left_semi").select("key").distinct()
-        free = common.stored(free.join(waits, "key", "left_anti").select("key", F.lit(level).alias("level")), "level")
+        free = common.stored(followers.join(waits, "key", "left_anti").select("key", F.lit(level).alias("level")), "level")
         if free.isEmpty():
             break
         settled = free if settled is None else settled.unionByName(free)
@@ -224,5 +223,6 @@ def record():
 
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
     """The rows of `results` for whose id the conversation has no call."""
-    made = calls.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_id")).distinct()
-    return results.join(made, (F.col("conv_id") == F.col("_conv")) & (F.col("call_id") == F.col("_id")), "left_anti")
+    conv, call = common.unused(results, "_conv"), common.unused(results, "_call")
+    made = calls.select(F.col("conv_id").alias(conv), F.col("call_id").alias(call)).distinct()
+    return results.join(made, (F.col("conv_id") == F.col(conv)) & (F.col("call_id") == F.col(call)), "left_anti")
