@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def new(key: str) -> Column:
-    """Value of a column after the change; NULL when absent."""
-    return F.col("data").getItem(key)
+    """Value of a column after the change; NULL when absent.
+
+    `data` is a feed's map of columns, or the alias of a feed whose changes are
+    typed rows (then Spark makes and reads only the columns in use).
+    """
+    return F.col(f"data.{key}")
 
 
 def before(key: str) -> Column:

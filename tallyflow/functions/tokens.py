@@ -27,24 +27,24 @@ def split_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     return df.withColumn(word, F.explode(words(text)))
 
 
-def dictionary_words(
-    df: DataFrame, text: str, lexicon: DataFrame, key: str, longest: int = 6, word: str = "word"
-) -> DataFrame:
+def dictionary_words(df: DataFrame, text: str, lexicon: DataFrame, key: str, word: str = "word") -> DataFrame:
     """Fine-grained segmentation: every lexicon word found anywhere in the text.
 
-    Candidate substrings (at most ``longest`` per position) are joined to the
-    ``lexicon(word)`` table; letters and digits pass as whole runs, and Han
-    characters no lexicon word covers come out alone.  ``key`` identifies a row.
+    Substrings of the lengths that the ``lexicon(word)`` table has are joined to
+    it; runs of letters and digits pass whole, and Han characters no lexicon
+    word covers come out alone.  ``key`` identifies a row.
     """
     runs = F.regexp_extract_all(F.lower(F.col(text)), F.lit(RUNS), F.lit(1))
     parts = df.select("*", F.posexplode(runs).alias("_run", "_part"))
     han = F.col("_part").rlike(r"^\p{IsHan}")
     plain = parts.where(~han).withColumn(word, F.col("_part"))
     chars = parts.where(han).withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_part"))))
-    reach = F.least(F.lit(longest), F.length("_part") - F.col("_at") + 1)
-    spans = chars.withColumn("_len", F.explode(F.sequence(F.lit(1), reach)))
-    spans = spans.withColumn(word, F.substr("_part", F.col("_at"), F.col("_len")))
-    known = lexicon.select(F.lower(F.col("word")).alias(word)).distinct()
+    known = lexicon.select(F.lower(F.col("word")).alias(word)).where(F.length(word) > 0).distinct()
+    # The lengths in use are a handful of numbers, whatever the lexicon.
+    lengths = sorted(r[0] for r in known.select(F.length(word)).distinct().collect())
+    reach = F.length("_part") - F.col("_at") + 1
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= reach)
+    spans = chars.withColumn("_len", F.explode(fitting)).withColumn(word, F.substr("_part", F.col("_at"), F.col("_len")))
     found = spans.join(known, word, "inner")
     covered = found.select(
         key, "_run", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_len") - 1)).alias("_at")

@@ -83,8 +83,10 @@ def category_tree(dims: dict[str, DataFrame]) -> DataFrame:
 
 
 def with_categories(df: DataFrame, dims: dict[str, DataFrame], how: str = "inner") -> DataFrame:
+    """Adds the category levels, from the stored tree `categories` where there is one."""
+    tree = dims["categories"] if "categories" in dims else category_tree(dims)
     names = ["category3_name", "category2_id", "category2_name", "category1_id", "category1_name"]
-    return lookup(df, category_tree(dims), "category3_id", "category3_id", {n: n for n in names}, how)
+    return lookup(df, tree, "category3_id", "category3_id", {n: n for n in names}, how)
 
 
 def with_sku(df: DataFrame, dims: dict[str, DataFrame], spu: bool = True, how: str = "inner") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Row changes to fact rows.  Works on tables and, without J1-style joins, on streams."""
+"""Row changes to fact rows.  Facts made of several tables have a form for tables and a time-bounded one for streams."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import predicates as P
 from ..functions.timefmt import date_id
-from .joins import hot_key_join, with_dictionary
+from .joins import hot_key_join, stream_join, with_dictionary
 from .keyed import last_per
 
 
@@ -150,6 +150,42 @@ def order_wide(changes: Changes, dictionary: DataFrame, database: str | None = N
     )
 
 
+def stream_order_wide(
+    changes: Changes,
+    dictionary: DataFrame,
+    database: str | None = None,
+    extras_within: str = "5 seconds",
+    order_within: str = "5 seconds",
+    delay: str = "2 seconds",
+) -> DataFrame:
+    """The same rows for streams, joined within bounds of the changes' times.
+
+    A line waits `extras_within` for its activity and coupon and `order_within`
+    for its order; then its state goes.  A replayed change repeats rows, so the
+    sink keeps the newest row per line (`sinks.upsert_writer`).
+    """
+    lines = changes_of(changes, "order_detail", "insert", database=database).select(
+        *fields(*schemas.ORDER_DETAIL_KEYS), _change_time().alias("_line_ts")
+    )
+    wide = with_dictionary(
+        lines.withColumnRenamed("source_type", "source_type_id"), dictionary, "source_type_id", "source_type_name"
+    )
+    for table, columns in (("order_detail_activity", _ACTIVITY), ("order_detail_coupon", _COUPON)):
+        extra = changes_of(changes, table, "insert", database=database).select(
+            *fields(_line="order_detail_id", **columns), _change_time().alias("_extra_ts")
+        )
+        same = F.expr("id = _line")
+        wide = stream_join(wide, extra, same, "_line_ts", "_extra_ts", extras_within, extras_within, "left_outer", delay)
+        wide = wide.drop("_line", "_extra_ts")
+    order_keys = [k for k in schemas.ORDER_INFO_KEYS if k not in ("id", "create_time")]
+    orders = changes_of(changes, "order_info", "insert", "update", database=database).select(
+        *fields(*order_keys, _order="id"), "type", "old", _change_time().alias("_order_ts")
+    )
+    same = F.expr("order_id = _order")
+    rows = stream_join(wide, orders, same, "_line_ts", "_order_ts", order_within, order_within, "inner", delay)
+    return rows.withColumn("row_op_ts", F.greatest("_line_ts", "_order_ts")).select(*schemas.ORDER_WIDE)
+
+
 def order_details(wide: DataFrame) -> DataFrame:
     return wide.where(P.is_type("insert")).select(*schemas.ORDER_DETAIL)
 
@@ -159,17 +195,38 @@ def cancelled_details(wide: DataFrame) -> DataFrame:
     return wide.where(cancelled).withColumnRenamed("operate_time", "cancel_time").select(*schemas.CANCEL_DETAIL)
 
 
-def paid_details(changes: Changes, details: DataFrame, dictionary: DataFrame) -> DataFrame:
+def _payments(changes: Changes, dictionary: DataFrame) -> DataFrame:
     paid = changes_of(changes, "payment_info", "update").where(P.new("payment_status") == "1602")
-    payments = paid.select(*fields("callback_time", _order="order_id", payment_type_code="payment_type"))
-    named = with_dictionary(payments, dictionary, "payment_type_code", "payment_type_name")
-    lines = details.withColumnRenamed("id", "order_detail_id").withColumnRenamed(
-        "split_total_amount", "split_payment_amount"
+    payments = paid.select(
+        *fields("callback_time", _order="order_id", payment_type_code="payment_type"), _change_time().alias("_paid_ts")
     )
-    return lines.join(named, F.col("order_id") == F.col("_order")).select(*schemas.PAY_DETAIL)
+    return with_dictionary(payments, dictionary, "payment_type_code", "payment_type_name")
 
 
-def refund_requests(changes: Changes, dictionary: DataFrame) -> DataFrame:
+def _payable(details: DataFrame) -> DataFrame:
+    lines = details.withColumnRenamed("id", "order_detail_id")
+    return lines.withColumnRenamed("split_total_amount", "split_payment_amount")
+
+
+def paid_details(changes: Changes, details: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Paid order lines, one row per line: a later update of a paid payment replaces the row."""
+    newest = last_per(_payments(changes, dictionary), ["_order"], ["_paid_ts", "callback_time", "payment_type_code"])
+    return hot_key_join(_payable(details).withColumn("_order", F.col("order_id")), newest, ["_order"]).select(*schemas.PAY_DETAIL)
+
+
+def stream_paid_details(
+    changes: Changes, details: DataFrame, dictionary: DataFrame, within: str = "905 seconds", delay: str = "2 seconds"
+) -> DataFrame:
+    """Paid order lines of streams; a payment is looked for within a time of the line's `row_op_ts`.
+
+    Written by `sinks.upsert_writer` on `order_detail_id` and `_paid_ts`, which gives one row per line.
+    """
+    same = F.expr("order_id = _order")
+    rows = stream_join(_payable(details), _payments(changes, dictionary), same, "row_op_ts", "_paid_ts", within, within, delay=delay)
+    return rows.select(*schemas.PAY_DETAIL, "_paid_ts")
+
+
+def _refunds(changes: Changes, dictionary: DataFrame) -> DataFrame:
     refunds = changes_of(changes, "order_refund_info", "insert").select(
         *fields(
             "id",
@@ -188,18 +245,35 @@ def refund_requests(changes: Changes, dictionary: DataFrame) -> DataFrame:
         _change_time().alias("_refund_ts"),
     )
     named = with_dictionary(refunds, dictionary, "refund_type_code", "refund_type_name")
-    named = with_dictionary(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
-    orders = changes_of(changes, "order_info").where(P.changed_to("order_status", "1005"))
-    orders = orders.select(*fields("province_id", _order="id"), _change_time().alias("_order_ts"))
-    return (
-        named.join(orders, F.col("order_id") == F.col("_order"))
-        .withColumn("row_op_ts", F.greatest("_refund_ts", "_order_ts"))
-        .select(*schemas.REFUND_DETAIL)
+    return with_dictionary(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
+
+
+def _orders_in(changes: Changes, status: str, *keys: str) -> DataFrame:
+    orders = changes_of(changes, "order_info").where(P.changed_to("order_status", status))
+    return orders.select(*fields(*keys, _order="id"), _change_time().alias("_order_ts"))
+
+
+_SAME_ORDER = "order_id = _order"
+
+
+def refund_requests(changes: Changes, dictionary: DataFrame) -> DataFrame:
+    rows = _refunds(changes, dictionary).join(_orders_in(changes, "1005", "province_id"), F.expr(_SAME_ORDER))
+    return rows.withColumn("row_op_ts", F.greatest("_refund_ts", "_order_ts")).select(*schemas.REFUND_DETAIL)
+
+
+def stream_refund_requests(
+    changes: Changes, dictionary: DataFrame, within: str = "5 seconds", delay: str = "2 seconds"
+) -> DataFrame:
+    """Refund requests of streams; the order's change is looked for within a time of the request's."""
+    orders = _orders_in(changes, "1005", "province_id")
+    rows = stream_join(
+        _refunds(changes, dictionary), orders, F.expr(_SAME_ORDER), "_refund_ts", "_order_ts", within, within, delay=delay
     )
+    return rows.withColumn("row_op_ts", F.greatest("_refund_ts", "_order_ts")).select(*schemas.REFUND_DETAIL)
 
 
-def refunds_paid(changes: Changes, dictionary: DataFrame, strict: bool = False) -> DataFrame:
-    """Paid refunds; `strict` also asks for the status changes 0702 and 0705."""
+def _refund_parts(changes: Changes, dictionary: DataFrame, strict: bool) -> tuple[DataFrame, DataFrame]:
+    """Refund payments, and the refund requests they belong to."""
     payment = changes_of(changes, "refund_payment")
     refund = changes_of(changes, "order_refund_info")
     if strict:
@@ -218,18 +292,43 @@ def refunds_paid(changes: Changes, dictionary: DataFrame, strict: bool = False)
         "ts",
         _change_time().alias("_paid_ts"),
     )
-    named = with_dictionary(paid, dictionary, "payment_type_code", "payment_type_name")
-    orders = changes_of(changes, "order_info").where(P.changed_to("order_status", "1006"))
-    orders = orders.select(*fields("user_id", "province_id", _order="id"), _change_time().alias("_order_ts"))
-    # Latest state of the (order, sku) refund, so that repeated changes do not multiply rows.
-    requested = last_per(
-        refund.select(*fields("order_id", "sku_id", "refund_num"), F.col("ts").alias("_at")),
-        ["order_id", "sku_id"],
-        [F.col("_at").try_cast("bigint"), "refund_num"],
-    ).drop("_at")
+    requested = refund.select(
+        *fields("refund_num", _request="id", _of_order="order_id", _of_sku="sku_id"), _change_time().alias("_request_ts")
+    )
+    return with_dictionary(paid, dictionary, "payment_type_code", "payment_type_name"), requested
+
+
+_SAME_REFUND = "order_id = _of_order and sku_id = _of_sku"
+
+
+def refunds_paid(changes: Changes, dictionary: DataFrame, strict: bool = False) -> DataFrame:
+    """Paid refunds; `strict` also asks for the status changes 0702 and 0705.
+
+    Replays of a request are told by its own id: two requests for one order and
+    goods are two rows for each payment.
+    """
+    paid, requested = _refund_parts(changes, dictionary, strict)
+    requested = last_per(requested, ["_request"], ["_request_ts", "refund_num"])
+    orders = _orders_in(changes, "1006", "user_id", "province_id")
     return (
-        hot_key_join(named, requested, ["order_id", "sku_id"])
-        .join(orders, F.col("order_id") == F.col("_order"))
+        paid.join(requested, F.expr(_SAME_REFUND))
+        .join(orders, F.expr(_SAME_ORDER))
         .withColumn("row_op_ts", F.greatest("_paid_ts", "_order_ts"))
         .select(*schemas.REFUND_PAID)
     )
+
+
+def stream_refunds_paid(
+    changes: Changes, dictionary: DataFrame, strict: bool = False, within: str = "5 seconds", delay: str = "2 seconds"
+) -> DataFrame:
+    """Paid refunds of streams, all three changes within a time of the payment's.
+
+    Replays are left to the upsert sink, whose keys are `id` and `_request`, the request's own id.
+    """
+    paid, requested = _refund_parts(changes, dictionary, strict)
+    orders = _orders_in(changes, "1006", "user_id", "province_id")
+    rows = stream_join(paid, requested, F.expr(_SAME_REFUND), "_paid_ts", "_request_ts", within, within, delay=delay)
+    rows = stream_join(
+        rows.drop("_request_ts"), orders, F.expr(_SAME_ORDER), "_paid_ts", "_order_ts", within, within, delay=delay
+    )
+    return rows.withColumn("row_op_ts", F.greatest("_paid_ts", "_order_ts")).select(*schemas.REFUND_PAID, "_request")

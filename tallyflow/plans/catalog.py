@@ -218,7 +218,7 @@ def cdc_route(spark, sf_dir):
 
 @query
 def cdc_changed_to(spark, sf_dir):
-    rows = A.changes(spark, sf_dir, "order_info").where(P.changed_to("order_status", "1003"))
+    rows = A.feeds(spark, sf_dir, "order_info")["order_info"].where(P.changed_to("order_status", "1003"))
     return rows.select(*X.fields("id", "user_id", "order_status", "operate_time"), P.before("order_status").alias("old_status"))
 
 
@@ -329,7 +329,7 @@ def dim_upsert_latest(spark, sf_dir):
 
 
 def _lines_province(spark, sf_dir) -> DataFrame:
-    rows = A.changes(spark, sf_dir, "order_info").where(P.is_type("insert"))
+    rows = A.feeds(spark, sf_dir, "order_info")["order_info"].where(P.is_type("insert"))
     return rows.select(*X.fields("id", "user_id", "province_id"))
 
 
@@ -346,7 +346,7 @@ def dim_enrich_left(spark, sf_dir):
 @query
 def dim_snowflake(spark, sf_dir):
     dims = A.dimensions(spark, sf_dir)
-    rows = A.changes(spark, sf_dir, "order_detail").select(*X.fields("id", "sku_id", "source_id", "create_time"))
+    rows = A.feeds(spark, sf_dir, "order_detail")["order_detail"].select(*X.fields("id", "sku_id", "source_id", "create_time"))
     return D.with_categories(D.with_trademark(D.with_spu(D.with_sku(rows, dims), dims), dims), dims)
 
 

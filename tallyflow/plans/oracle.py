@@ -104,13 +104,13 @@ oi as (
     select *, '1006', {_t('later')}, 'update', '1005', later + to_seconds(60) from o
     where o_orderstatus = 'P' and o_orderkey % 2 = 0)),
 act as (
-  select * from (select id as line, 'a' || id as order_detail_activity_id, cast(l_partkey % 10 as varchar) as activity_id,
+  select * from (select id as line, made as act_made, 'a' || id as order_detail_activity_id, cast(l_partkey % 10 as varchar) as activity_id,
       cast(l_partkey % 4 as varchar) as activity_rule_id,
       row_number() over (partition by id order by made desc, cast(l_partkey % 10 as varchar) desc,
         cast(l_partkey % 4 as varchar) desc) as rn
     from l where l_discount > 0.05) where rn = 1),
 cou as (
-  select * from (select id as line, 'c' || id as order_detail_coupon_id, cast(l_suppkey % 8 as varchar) as coupon_id,
+  select * from (select id as line, made as cou_made, 'c' || id as order_detail_coupon_id, cast(l_suppkey % 8 as varchar) as coupon_id,
       cast(l_suppkey as varchar) as coupon_use_id,
       row_number() over (partition by id order by made desc, cast(l_suppkey % 8 as varchar) desc,
         cast(l_suppkey as varchar) desc) as rn
@@ -356,11 +356,11 @@ all_changes as (
   union all select 'user_info', 'insert', cast(c_custkey as varchar) from customer
   union all select 'sku_info', 'bootstrap-insert', cast(p_partkey as varchar) from part
   union all select 'sku_info', 'update', cast(p_partkey as varchar) from part where p_size > 40
-  union all select 'spu_info', 'insert', cast(p_partkey as varchar) from part where p_partkey < 50
+  union all select distinct 'spu_info', 'insert', cast(p_partkey % 50 as varchar) from part
   union all select 'base_trademark', 'insert', split_part(p_brand, '#', 2) from part
   union all select 'base_category3', 'insert', cast(n_nationkey as varchar) from nation
   union all select 'base_category2', 'insert', cast(r_regionkey as varchar) from region
-  union all select 'base_category1', 'insert', cast(r_regionkey as varchar) from region where r_regionkey < 2
+  union all select distinct 'base_category1', 'insert', cast(r_regionkey % 2 as varchar) from region
   union all select 'base_province', 'insert', cast(n_nationkey as varchar) from nation)
 """
 _changes(
@@ -431,7 +431,7 @@ _trade(
     from l join o on l.order_id = o.order_id and o_orderstatus = 'P' and o_orderkey % 2 = 0
       join dic on cast(1 + l_suppkey % 5 as varchar) = dic_code
       join (select order_id, sku_id, sku_num as refund_num, row_number() over (
-          partition by order_id, sku_id order by later desc, sku_num desc) as rn from l where l_returnflag = 'R') q
+          partition by id, l_partkey, l_suppkey order by later desc, sku_num desc) as rn from l where l_returnflag = 'R') q
         on q.order_id = l.order_id and q.sku_id = l.sku_id and q.rn = 1
     where l_returnflag = 'R' and l_suppkey % 2 = 0""",
 )
@@ -461,11 +461,11 @@ select cast(p_partkey as varchar), p_name || ' new', null, split_part(p_brand, '
 ORACLE["dim_upsert_latest"] = """
 select 'dim_sku_info' as sink_table, cast(p_partkey as varchar) as pk,
   case when p_size > 40 then p_name || ' new' else p_name end as name from part
-union all select 'dim_spu_info', cast(p_partkey as varchar), 'spu ' || p_partkey from part where p_partkey < 50
+union all select distinct 'dim_spu_info', cast(p_partkey % 50 as varchar), 'spu ' || (p_partkey % 50) from part
 union all select distinct 'dim_base_trademark', split_part(p_brand, '#', 2), p_brand from part
 union all select 'dim_base_category3', cast(n_nationkey as varchar), 'c3 ' || n_name from nation
 union all select 'dim_base_category2', cast(r_regionkey as varchar), 'c2 ' || r_name from region
-union all select 'dim_base_category1', cast(r_regionkey as varchar), 'c1 ' || r_regionkey from region where r_regionkey < 2
+union all select distinct 'dim_base_category1', cast(r_regionkey % 2 as varchar), 'c1 ' || (r_regionkey % 2) from region
 union all select 'dim_base_province', cast(n_nationkey as varchar), n_name from nation
 """
 for _kind, _join in (("inner", "join"), ("left", "left join")):
@@ -649,6 +649,8 @@ for _name, _same in (
     ("stream_keyword", "win_keyword"),
     ("stream_coupon_order", "cdc_transition"),
     ("stream_dimensions", "dim_upsert_latest"),
+    ("stream_refund_detail", "refund_detail"),
+    ("stream_refund_paid", "refund_paid"),
 ):
     ORACLE[_name] = ORACLE[_same]
 _traffic("stream_new_flag", "select event_id, mid, is_new from fixed_all")

@@ -8,6 +8,8 @@ closes every input; it is left out of the results.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,11 @@ from ..sources import sinks as W
 from ..streaming import keyed as K
 from . import metrics as M
 from . import table_feeds as A
-from .catalog import BACK_DAYS, HOUR, QUERIES, query
+from .catalog import BACK_DAYS, HOUR, QUERIES, _shown, query
 
-_END_ID = -1
+_END_ID, _END_DAY = -1, "2100-01-01"
+#: The closing record's own window, and no other.
+_NOT_CLOSING = f"stt <> '{_END_DAY} 00:00:00'"
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +44,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "closing")
     closing = spark.range(1).selectExpr(
         f"cast({_END_ID} as bigint) as event_id",
-        "timestamp_ntz'2100-01-01 00:00:00' as ts",
+        f"timestamp_ntz'{_END_DAY} 00:00:00' as ts",
         f"cast({_END_ID} as bigint) as user_id",
         "'view' as event_type",
         "0.0D as value",
@@ -87,7 +91,7 @@ def stream_window(spark, sf_dir):
     rows = events.select(F.col("ts").cast("timestamp").alias("rt"), "event_type", "value", "event_id")
     sums = {"n": F.lit(1).cast("bigint"), "total": F.col("value").cast("decimal(18,2)")}
     out = _drain(spark, window_sums(rows, "rt", sums, ("event_type",)), "window")
-    return out.where("stt < '2100'").withColumn("total", F.round(F.col("total").cast("double"), 2))
+    return out.where(_NOT_CLOSING).withColumn("total", F.round(F.col("total").cast("double"), 2))
 
 
 @query
@@ -115,7 +119,7 @@ def stream_dedup_first(spark, sf_dir):
     """One row per visitor and day; which of them is left to arrival."""
     rows = _flat(_pages(spark, sf_dir)).select(F.concat_ws("|", "mid", "day").alias("id"), "rt")
     out = _drain(spark, K.first_wins(rows, "id", "rt", "2 days"), "dedup-first")
-    return out.where("id not like '%2100%'").select("id")
+    return out.where(f"id <> '{_END_ID}|{_END_DAY}'").select("id")
 
 
 @query
@@ -160,13 +164,13 @@ def stream_login(spark, sf_dir):
     metric = M.login(_pages(spark, sf_dir), HOUR, BACK_DAYS)
     writer = W.metric_writer(out, schemas.METRICS[name])
     _finish(W.start(metric, writer, work_folder(spark, "login-progress"), available_now=True))
-    return S.metric_table(spark, out).select(*schemas.METRICS[name]).where("stt < '2100'")
+    return S.metric_table(spark, out).select(*schemas.METRICS[name]).where(_NOT_CLOSING)
 
 
 @query
 def stream_page_uv(spark, sf_dir):
     out = _drain(spark, M.page_view(_pages(spark, sf_dir), HOUR), "page-uv")
-    return out.where("stt < '2100'")
+    return out.where(_NOT_CLOSING)
 
 
 @query
@@ -179,7 +183,7 @@ def stream_keyword(spark, sf_dir):
         closing, page.withField("last_page_id", F.lit("search")).withField("item_type", F.lit("keyword"))
     ).otherwise(page)
     out = _drain(spark, M.keyword(pages.withColumn("page", searched), HOUR), "keyword")
-    return out.where("stt < '2100'")
+    return out.where(_NOT_CLOSING)
 
 
 @query
@@ -235,4 +239,70 @@ def stream_dimensions(spark, sf_dir):
     return D.latest_dimensions(rows).select("sink_table", "pk", name.alias("name"))
 
 
+# --- trade facts -----------------------------------------------------------
+#: The given tables' changes lie anywhere in one month.
+_MONTH = "31 days"
+_SLICES = ["ts < '1704931200'", "ts >= '1704931200' and ts < '1705795200'", "ts >= '1705795200'"]
+#: Rounds of closing records: a row that one bounded join lets go waits in the next one for time to move on again.
+#: All changes lie in January 2024; the first round comes on the fifth of February.
+_CLOSING_ROUNDS, _CLOSING_AT = 4, 1707091200
+
+
+def _closing_change(table: str, key: str, at_second: int) -> str:
+    """A change record after all others, whose keys no other record has; it lets waiting rows go."""
+    columns = dict.fromkeys("id order_id order_detail_id sku_id user_id".split(), key)
+    columns |= {"order_info": {"order_status": "1001"}, "payment_info": {"payment_status": "1602"}}.get(table, {})
+    kind = "update" if table == "payment_info" else "insert"
+    return json.dumps({"database": A.SHOP, "table": table, "type": kind, "ts": str(at_second), "data": columns, "old": None})
+
+
+def _closing_keys(spark: SparkSession, turn: int) -> list[str]:
+    return [f"closing-{turn}-{i}" for i in range(spark.sparkContext.defaultParallelism)]
+
+
+def _without_closing(rows: DataFrame, key: str) -> DataFrame:
+    spark = rows.sparkSession
+    return rows.where(~F.col(key).isin([k for turn in range(_CLOSING_ROUNDS) for k in _closing_keys(spark, turn)]))
+
+
+def _change_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's changes as text in order of time, several micro-batches of files, and closing records."""
+    spark.conf.set(*STATE_PROVIDER)
+    folder, parts = work_folder(spark, f"changes-{name}"), spark.sparkContext.defaultParallelism
+    for rule in _SLICES:
+        rows = A.changes(spark, sf_dir, name).where(rule).select(F.to_json(F.struct(*schemas.CHANGE.names)).alias("value"))
+        rows.repartition(parts).write.mode("append").text(folder)
+    for turn in range(_CLOSING_ROUNDS):
+        # One record in each of as many files as a micro-batch takes, so that rounds do not share one.
+        text = _closing_change(name, f"closing-{turn}-#", _CLOSING_AT + 60 * turn)
+        last = spark.range(0, parts, 1, parts).select(F.replace(F.lit(text), F.lit("#"), F.col("id").cast("string")).alias("value"))
+        last.write.mode("append").text(folder)
+    return S.change_rows(S.folder_lines(spark, folder, files_per_batch=parts))
+
+
+def _change_streams(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    return {t: _change_stream(spark, sf_dir, t) for t in tables}
+
+
+def _upserted(spark: SparkSession, df: DataFrame, name: str, keys: list[str], order: list[str]) -> DataFrame:
+    """Run a fact to its end through the upsert sink; the rows it then holds."""
+    out = work_folder(spark, name)
+    _finish(W.start(df, W.upsert_writer(out, keys, order), work_folder(spark, f"{name}-progress"), available_now=True))
+    return _without_closing(W.read_upserts(spark, out, keys, order), keys[0]).select(*df.columns)
+
+
+@query
+def stream_refund_detail(spark, sf_dir):
+    feeds = _change_streams(spark, sf_dir, "order_info", "order_refund_info")
+    rows = X.stream_refund_requests(feeds, A.dictionary(spark, sf_dir), within=_MONTH)
+    return _shown(_upserted(spark, rows, "refund-detail", ["id"], ["row_op_ts"]))
+
+
+@query
+def stream_refund_paid(spark, sf_dir):
+    feeds = _change_streams(spark, sf_dir, "order_info", "order_refund_info", "refund_payment")
+    rows = X.stream_refunds_paid(feeds, A.dictionary(spark, sf_dir), within=_MONTH)
+    return _shown(_upserted(spark, rows, "refund-paid", ["id", "_request"], ["row_op_ts"]).drop("_request"))
+
+
 __all__ = ["QUERIES"]

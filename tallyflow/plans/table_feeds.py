@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import predicates as P
+from ..operators.dims import category_tree
 from ..operators.keyed import last_per
 from ..session import work_folder
 
@@ -23,22 +25,7 @@ _START = "timestamp_ntz'2024-01-01 00:00:00'"
 @lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the reader (not its rows) is kept, so footers are read once."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out to all cores.
-
-    A table of a few megabytes is one row group, so one task would do all the
-    work on it.  Tables with more bytes than some megabytes per core have enough
-    row groups and are never shuffled here; dimension-sized ones are not worth it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, df.columns[0]) if _MB < size < 4 * _MB * cores else df
-
-
-_MB = 1024 * 1024
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- application log -------------------------------------------------------
@@ -113,9 +100,9 @@ def _dec(x: str) -> str:
     return f"cast(cast({x} as decimal(18,2)) as string)"
 
 
-def _map(**pairs: str) -> str:
-    inner = ", ".join(f"'{k}', cast({v} as string)" for k, v in pairs.items())
-    return f"map({inner})"
+def _row(**columns: str) -> dict[str, str]:
+    """Column -> expression; in a change all values are text."""
+    return {k: f"cast({v} as string)" for k, v in columns.items()}
 
 
 _NO_OLD = "cast(null as map<string,string>)"
@@ -134,8 +121,8 @@ _PREPARED = {
 }
 
 
-def _order(status: str, operate: str = "null") -> str:
-    return _map(
+def _order(status: str, operate: str = "null") -> dict[str, str]:
+    return _row(
         id="o_orderkey",
         consignee="concat('user', o_custkey)",
         total_amount=_dec("o_totalprice"),
@@ -150,7 +137,7 @@ def _order(status: str, operate: str = "null") -> str:
 
 
 # table -> list of (source table, filter, type, data, old, change time)
-_CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
+_CHANGES: dict[str, list[tuple[str, str, str, dict[str, str], str, str]]] = {
     "order_info": [
         ("orders", "true", "insert", _order("'1001'"), _NO_OLD, "made"),
         (
@@ -175,7 +162,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "lineitem",
             "true",
             "insert",
-            _map(
+            _row(
                 id="line",
                 order_id="l_orderkey",
                 sku_id="l_partkey",
@@ -198,7 +185,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "lineitem",
             "l_discount > 0.05",
             "insert",
-            _map(
+            _row(
                 id="concat('a', line)",
                 order_id="l_orderkey",
                 order_detail_id="line",
@@ -216,7 +203,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "lineitem",
             "l_tax > 0.04",
             "insert",
-            _map(
+            _row(
                 id="concat('c', line)",
                 order_id="l_orderkey",
                 order_detail_id="line",
@@ -234,7 +221,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "orders",
             "o_orderstatus = 'O'",
             "update",
-            _map(
+            _row(
                 id="o_orderkey",
                 user_id="o_custkey",
                 order_id="o_orderkey",
@@ -251,7 +238,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "lineitem",
             "l_returnflag = 'R'",
             "insert",
-            _map(
+            _row(
                 id="concat('r', line, '-', l_partkey, '-', l_suppkey)",
                 user_id="l_orderkey % 1000",
                 order_id="l_orderkey",
@@ -272,7 +259,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "lineitem",
             "l_returnflag = 'R' and l_suppkey % 2 = 0",
             "update",
-            _map(
+            _row(
                 id="concat('p', line, '-', l_partkey, '-', l_suppkey)",
                 order_id="l_orderkey",
                 sku_id="l_partkey",
@@ -290,7 +277,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "events",
             "event_type in ('click', 'purchase')",
             "if(event_type = 'click', 'insert', 'update')",
-            _map(
+            _row(
                 id="event_id",
                 user_id="user_id",
                 sku_id="k",
@@ -311,7 +298,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "events",
             "event_type in ('view', 'signup', 'error')",
             "if(event_type = 'view', 'insert', 'update')",
-            _map(
+            _row(
                 id="event_id",
                 coupon_id=f"k % 8",
                 user_id="user_id",
@@ -332,7 +319,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "events",
             "event_type in ('view', 'click')",
             "if(event_type = 'view', 'insert', 'update')",
-            _map(
+            _row(
                 id="event_id",
                 user_id="user_id",
                 sku_id="k",
@@ -348,7 +335,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "events",
             "event_type = 'purchase'",
             "insert",
-            _map(
+            _row(
                 id="event_id",
                 user_id="user_id",
                 sku_id="k",
@@ -365,7 +352,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "customer",
             "true",
             "insert",
-            _map(
+            _row(
                 id="c_custkey",
                 create_time=_text("made"),
             ),
@@ -378,7 +365,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "part",
             "true",
             "bootstrap-insert",
-            _map(
+            _row(
                 id="p_partkey",
                 spu_id="p_partkey % 50",
                 tm_id="substring_index(p_brand, '#', -1)",
@@ -393,7 +380,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "part",
             "p_size > 40",
             "update",
-            _map(
+            _row(
                 id="p_partkey",
                 spu_id="p_partkey % 50",
                 tm_id="substring_index(p_brand, '#', -1)",
@@ -407,10 +394,10 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
     ],
     "spu_info": [
         (
-            "part",
-            "p_partkey < 50",
+            "part: p_partkey % 50 as spu",
+            "true",
             "insert",
-            _map(id="p_partkey", spu_name="concat('spu ', p_partkey)"),
+            _row(id="spu", spu_name="concat('spu ', spu)"),
             _NO_OLD,
             _START,
         )
@@ -420,7 +407,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "part",
             "true",
             "insert",
-            _map(id="substring_index(p_brand, '#', -1)", tm_name="p_brand"),
+            _row(id="substring_index(p_brand, '#', -1)", tm_name="p_brand"),
             _NO_OLD,
             _START,
         )
@@ -430,7 +417,7 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "nation",
             "true",
             "insert",
-            _map(id="n_nationkey", name="concat('c3 ', n_name)", category2_id="n_regionkey"),
+            _row(id="n_nationkey", name="concat('c3 ', n_name)", category2_id="n_regionkey"),
             _NO_OLD,
             _START,
         )
@@ -440,23 +427,23 @@ _CHANGES: dict[str, list[tuple[str, str, str, str, str, str]]] = {
             "region",
             "true",
             "insert",
-            _map(id="r_regionkey", name="concat('c2 ', r_name)", category1_id="r_regionkey % 2"),
+            _row(id="r_regionkey", name="concat('c2 ', r_name)", category1_id="r_regionkey % 2"),
             _NO_OLD,
             _START,
         )
     ],
     "base_category1": [
         (
-            "region",
-            "r_regionkey < 2",
+            "region: r_regionkey % 2 as category1",
+            "true",
             "insert",
-            _map(id="r_regionkey", name="concat('c1 ', r_regionkey)"),
+            _row(id="category1", name="concat('c1 ', category1)"),
             _NO_OLD,
             _START,
         )
     ],
     "base_province": [
-        ("nation", "true", "insert", _map(id="n_nationkey", name="n_name"), _NO_OLD, _START)
+        ("nation", "true", "insert", _row(id="n_nationkey", name="n_name"), _NO_OLD, _START)
     ],
 }
 
@@ -466,21 +453,35 @@ DIMENSION_TABLES = (
 )
 
 
+def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """A table, or `table: expression`, its distinct values over all rows."""
+    name, _, values = source.partition(": ")
+    rows = table(spark, sf_dir, name)
+    return rows.selectExpr(values).distinct() if values else rows
+
+
+#: Columns that the facts of a table read, also those that the given tables have nothing for.
+_READ = {"order_info": schemas.ORDER_INFO_KEYS, "order_detail": schemas.ORDER_DETAIL_KEYS, "cart_info": schemas.CART_KEYS}
+
+
 @lru_cache(maxsize=512)
-def _changes_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _changes_of(spark: SparkSession, sf_dir: str, name: str, typed: bool) -> DataFrame:
+    """`typed`: the row's columns lie side by side under the alias `data`, of which Spark makes and reads only those in use."""
     parts = []
     for source, rule, kind, data, old, when in _CHANGES[name]:
         kind = kind if kind.startswith("if") else f"'{kind}'"
-        rows = table(spark, sf_dir, source).where(rule)
+        rows = _source(spark, sf_dir, source).where(rule)
         for column, made_as in _PREPARED.get(source, []):
             rows = rows.withColumn(column, F.expr(made_as))
+        values = {**dict.fromkeys(_READ.get(name, ()) if typed else (), "cast(null as string)"), **data}
+        inner = ", ".join(f"'{k}', {v}" for k, v in values.items())
         parts.append(
             rows.selectExpr(
                 f"'{SHOP}' as database",
                 f"'{name}' as table",
                 f"{kind} as type",
                 f"{_epoch(when)} as ts",
-                f"{data} as data",
+                *([f"{v} as {k}" for k, v in values.items()] if typed else [f"map({inner}) as data"]),
                 f"{old} as old",
             )
         )
@@ -488,13 +489,13 @@ def _changes_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
-    """Row-change records of the named tables (all by default) as one feed."""
-    return reduce(DataFrame.unionByName, [_changes_of(spark, sf_dir, n) for n in tables or _CHANGES])
+    """Row-change records of the named tables (all by default) as one feed; a row is a map, as tables differ."""
+    return reduce(DataFrame.unionByName, [_changes_of(spark, sf_dir, n, False) for n in tables or _CHANGES])
 
 
 def feeds(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
-    """The same records, one feed per table."""
-    return {n: _changes_of(spark, sf_dir, n) for n in tables}
+    """The same records, one typed feed per table."""
+    return {n: _changes_of(spark, sf_dir, n, True).alias("data") for n in tables}
 
 
 def change_lines(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
@@ -561,13 +562,24 @@ _COLUMNS = {source: [c.strip() for c in columns.split(",")] for source, _, colum
 @lru_cache(maxsize=256)
 def _dimension(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     columns = _COLUMNS[source]
-    rows = changes(spark, sf_dir, source).select(
-        *[F.col("data")[c].alias(c) for c in columns], F.col("ts").cast("bigint").alias("_at")
+    rows = feeds(spark, sf_dir, source)[source].select(
+        *[P.new(c).alias(c) for c in columns], F.col("ts").cast("bigint").alias("_at")
     )
     newest = last_per(rows, "id", ["_at", *[c for c in columns if c != "id"]]).drop("_at")
     return _stored(spark, source, newest)
 
 
+@lru_cache(maxsize=16)
+def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = {n: _dimension(spark, sf_dir, _SHORT[n]) for n in ("category1", "category2", "category3")}
+    return _stored(spark, "categories", category_tree(levels))
+
+
 def dimensions(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Dimension tables in their current state, by short name: newest row per key."""
-    return {short: _dimension(spark, sf_dir, _SHORT[short]) for short in names or _SHORT}
+    """Dimension tables in their current state, by short name: newest row per key.
+
+    `categories` is the tree of the three category levels, flattened and stored
+    as a dimension of its own, so that its size is known when facts are joined.
+    """
+    made = {short: _dimension(spark, sf_dir, _SHORT[short]) for short in names or _SHORT if short != "categories"}
+    return made if names else made | {"categories": _categories(spark, sf_dir)}

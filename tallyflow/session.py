@@ -53,11 +53,6 @@ def use_job_conf(spark: SparkSession, zone: str | None = None) -> SparkSession:
         spark.conf.set(key, value)
     if zone:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        # One machine: a state store per default partition costs more than it saves.
-        if int(spark.conf.get("spark.sql.shuffle.partitions")) > 4 * context.defaultParallelism:
-            spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 

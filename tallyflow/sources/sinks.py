@@ -26,8 +26,25 @@ def start(
     mode: str = "append",
     available_now: bool = False,
     every: str = "10 seconds",
+    state_parts: int | None = None,
 ) -> StreamingQuery:
-    """Run `writer` once per micro-batch; progress is kept in `checkpoint`."""
+    """Run `writer` once per micro-batch; progress is kept in `checkpoint`.
+
+    Keyed state is cut into `state_parts` parts, by default one per core of the
+    cluster.  The number holds for the life of a checkpoint, so it is given with
+    the query and not left to the session.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_parts or spark.sparkContext.defaultParallelism))
+    try:
+        return _started(df, writer, checkpoint, mode, available_now, every)
+    finally:
+        # The query has its own copy of the settings.
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _started(df: DataFrame, writer: Writer, checkpoint: str, mode: str, available_now: bool, every: str) -> StreamingQuery:
     query = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(writer)
     query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime=every)
     return query.start()

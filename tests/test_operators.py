@@ -244,6 +244,9 @@ def test_dictionary_words(spark):
     assert sorted(r["word"] for r in dictionary_words(df, "t", lexicon, "id").collect()) == sorted(
         ["实时", "数仓", "实时数仓", "x"]
     )
+    long = spark.createDataFrame([("实时数仓建设指南",)], "word string")
+    df8 = spark.createDataFrame([(1, "看实时数仓建设指南")], "id int, t string")
+    assert sorted(r["word"] for r in dictionary_words(df8, "t", long, "id").collect()) == sorted(["看", "实时数仓建设指南"])
     few = spark.createDataFrame([("数仓",)], "word string")
     assert sorted(r["word"] for r in dictionary_words(df, "t", few, "id").collect()) == sorted(["实", "时", "数仓", "x"])
 

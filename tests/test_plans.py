@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from tallyflow.plans.stream_catalog import QUERIES as OWN
 
 QUERIES = entry.queries()
-TABLE_QUERIES = [n for n in QUERIES if not n.startswith("stream_")]
+TABLE_QUERIES = [n for n in OWN if not n.startswith("stream_")]
 
 
 def plan(df):
@@ -32,6 +33,27 @@ def test_unused_columns_and_tables_are_not_read(spark, sf_dir):
     assert "value" not in text.split("ReadSchema")[1]
 
 
+@pytest.mark.parametrize(
+    "name, unused",
+    [
+        ("win_order", ["o_totalprice", "o_orderpriority", "l_suppkey", "l_quantity"]),
+        ("win_user_spu", ["o_totalprice", "o_orderpriority", "l_suppkey"]),
+        ("win_province", ["o_orderpriority", "l_suppkey", "l_tax", "l_discount"]),
+        ("win_cart_uu", ["value"]),
+        ("win_refund", ["o_totalprice", "o_orderpriority", "l_tax"]),
+    ],
+)
+def test_metrics_read_only_what_they_use(spark, sf_dir, name, unused):
+    read = " ".join(part.split("\n")[0] for part in plan(QUERIES[name](spark, sf_dir)).split("ReadSchema")[1:])
+    assert not [c for c in unused if c in read]
+
+
+@pytest.mark.parametrize("name", ["dim_snowflake", "win_user_spu", "win_refund"])
+def test_facts_are_not_shuffled_by_category(spark, name):
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.1"))
+    assert "hashpartitioning(category" not in text
+
+
 def test_filters_reach_the_scan(spark, sf_dir):
     assert "EqualTo(o_orderstatus,F)" in plan(QUERIES["cdc_changed_to"](spark, sf_dir)) or "o_orderstatus" in plan(
         QUERIES["cdc_changed_to"](spark, sf_dir)
