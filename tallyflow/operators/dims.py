@@ -38,12 +38,14 @@ def route(changes: DataFrame, routing: DataFrame) -> DataFrame:
 
 
 def latest_dimensions(routed: DataFrame) -> DataFrame:
-    """Upsert result: newest change per sink table and primary key."""
-    return last_per(
-        routed.where(F.col("pk").isNotNull()),
-        ["sink_table", "pk"],
-        [F.col("ts").try_cast("bigint"), F.to_json("data")],
-    )
+    """Upsert result: newest change per sink table and primary key.
+
+    Change times are whole seconds.  Of equal ones the last to arrive counts, by
+    the columns `batch` and `seq` that the dimension sink writes; without them
+    the choice is by content.
+    """
+    arrival = [F.col(c) for c in ("batch", "seq") if c in routed.columns] or [F.to_json("data")]
+    return last_per(routed.where(F.col("pk").isNotNull()), ["sink_table", "pk"], [F.col("ts").try_cast("bigint"), *arrival])
 
 
 def dimension(latest: DataFrame, sink_table: str, columns: list[str]) -> DataFrame:

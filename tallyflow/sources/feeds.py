@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.timefmt import at, watermarked
+from ..operators.dims import dimension, latest_dimensions
 from ..operators.parse import clean_rows
 
 
@@ -79,9 +80,10 @@ def dictionary_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DICTIONARY).parquet(path)
 
 
-def dimension_table(spark: SparkSession, path: str) -> DataFrame:
-    """A whole dimension; look-ups are joins, never one read per row."""
-    return spark.read.parquet(path)
+def current_dimensions(spark: SparkSession, path: str, sink_table: str, columns: list[str]) -> DataFrame:
+    """One dimension out of the dimension sink's folder, the newest version per key; for use in `dims.enrich`."""
+    versions = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    return dimension(latest_dimensions(versions.where(F.col("sink_table") == sink_table)), sink_table, columns)
 
 
 def metric_table(spark: SparkSession, path: str) -> DataFrame:

@@ -125,8 +125,23 @@ def dimension_writer(path: str, routing: Callable[[SparkSession], DataFrame]) ->
     from ..operators.dims import latest_dimensions, route
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = latest_dimensions(route(batch, routing(batch.sparkSession)))
-        rows = routed.select("sink_table", "pk", "data", "type", F.col("ts").try_cast("bigint").alias("ts"))
+        arrived = batch.withColumn("seq", F.monotonically_increasing_id())
+        routed = latest_dimensions(route(arrived, routing(batch.sparkSession)))
+        rows = routed.select("sink_table", "pk", "data", "type", F.col("ts").try_cast("bigint").alias("ts"), "seq")
         rows.write.mode("overwrite").partitionBy("sink_table").parquet(_batch_folder(path, batch_id))
 
     return write
+
+
+def enriched(writer: Writer, enrich: Callable[[DataFrame], DataFrame]) -> Writer:
+    """Enrich every micro-batch before it is written.
+
+    A table joined to a stream is read as it was when the query started.  What
+    `enrich` reads, it reads again for every micro-batch, so that new rows of a
+    dictionary or a dimension take effect.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(enrich(batch), batch_id)
+
+    return write

@@ -110,16 +110,17 @@ class NewFlagRepair(_Base):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = self.first.get()[0] if self.first.exists() else None
+        if first is None:
+            # The first day hangs on the earliest row of all chunks.  One visitor's rows of one micro-batch are held,
+            # which the source's limit per trigger bounds.
+            rows = list(rows)
+            opener = min((c.loc[c[_MS].idxmin()] for c in rows if len(c)), key=lambda r: r[_MS])
+            opened = pd.Timestamp(opener[_MS], unit="ms", tz="UTC").tz_convert(self.zone)
+            first = (opened if opener["is_new"] == "1" else opened - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
+            self.first.update((first,))
         for chunk in rows:
-            chunk = chunk.sort_values(_MS, kind="stable")
             when = pd.to_datetime(chunk[_MS], unit="ms", utc=True).dt.tz_convert(self.zone)
-            days = when.dt.strftime("%Y-%m-%d")
-            if first is None:
-                says_new = chunk["is_new"].iloc[0] == "1"
-                opened = when.iloc[0] if says_new else when.iloc[0] - pd.Timedelta(days=1)
-                first = opened.strftime("%Y-%m-%d")
-                self.first.update((first,))
-            wrong = (chunk["is_new"] == "1") & (days != first)
+            wrong = (chunk["is_new"] == "1") & (when.dt.strftime("%Y-%m-%d") != first)
             yield self._out(chunk.assign(is_new=chunk["is_new"].mask(wrong, "0")))
 
 

@@ -172,3 +172,48 @@ def test_traffic_metric_stream(spark, events, tmp_path):
     want = M.traffic(table, opened, opened, "1 hour")
     assert want.columns == schemas.METRICS["traffic"]
     same(got, want)
+
+
+def test_new_flag_over_several_arrow_batches(spark, tmp_path):
+    """A visitor's rows of one micro-batch come in chunks; the earliest row of all of them tells the first day."""
+    rows = [(5, "m", "1", 2 * 86_400_000 + i) for i in range(3)] + [(1, "m", "1", 1000), (2, "m", "1", 2000)]
+    spark.createDataFrame(rows, "event_id long, mid string, is_new string, ts long").coalesce(1).write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        flat = S.table_stream(spark, str(tmp_path / "in")).withColumn("rt", F.timestamp_millis("ts"))
+        got = []
+        query = W.start(
+            K.repair_new_flag(flat, "mid", "rt"), lambda b, _: got.extend(b.collect()), str(tmp_path / "p"), available_now=True
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r.ts, r.is_new) for r in got) == [(1000, "1"), (2000, "1")] + [(2 * 86_400_000 + i, "0") for i in range(3)]
+
+
+def test_last_arrival_wins_among_equal_times(spark, tmp_path):
+    path = str(tmp_path / "dims")
+    routing = spark.createDataFrame([("t", "dim_t", "id,name", "id", None)], schemas.ROUTING)
+    write = W.dimension_writer(path, lambda _: routing)
+    change = lambda name: ("shop", "t", "update", "100", {"id": "1", "name": name}, None)
+    write(spark.createDataFrame([change("zzz old"), change("zz older")][::-1], schemas.CHANGE), 0)
+    write(spark.createDataFrame([change("aaa new")], schemas.CHANGE), 1)
+    now = S.current_dimensions(spark, path, "dim_t", ["id", "name"])
+    assert [tuple(r) for r in now.collect()] == [("1", "aaa new")]
+
+
+def test_lookup_rows_added_while_the_stream_runs(spark, tmp_path):
+    codes, out = str(tmp_path / "dic"), str(tmp_path / "out")
+    add = lambda code: spark.createDataFrame([(code, f"name {code}", None, None, None)], schemas.DICTIONARY).write.mode("append").parquet(codes)
+    add("1")
+    writer = W.enriched(
+        lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}"),
+        lambda b: J.with_dictionary(b, S.dictionary_table(spark, codes), "code", "dic_name"),
+    )
+    rows = spark.createDataFrame([("1",), ("2",)], "code string")
+    writer(rows, 0)
+    add("2")
+    writer(rows, 1)
+    got = sorted((r.code, r.batch) for r in spark.read.parquet(out).collect())
+    assert got == [("1", 0), ("1", 1), ("2", 1)]
