@@ -141,7 +141,7 @@ def op9_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"), shingle=4, distance=4, seed=42)
     return found.select(
         F.col("id").alias("doc_id"),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
 
@@ -187,4 +187,43 @@ ORACLE = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 20
     """,
+    "op4_tool_call_linking": """
+        with parts as (
+            select conv_id, turn, role, string_split(text, chr(10)) as lines from conversations where text is not null
+        ),
+        lines as (
+            select conv_id, turn, role, unnest(lines) as line, unnest(range(len(lines))) as n from parts
+        ),
+        calls as (
+            select conv_id, turn, n, line, conv_id || '-' || turn || '-' || n as call_id,
+                ['search', 'lookup', 'compute', 'draw'][length(line) % 4 + 1] as name,
+                conv_id || '-' || (case when n = 0 then turn - 2 else turn end) || '-' || (n // 2) as source,
+                case when length(line) % 7 = 0 then '' when length(line) % 11 = 0 then '"limit":"all",'
+                    else '"limit":' || length(line) || ',' end as "limit",
+                case when n = 0 then 0 else length(bin(n)) end::int as level
+            from lines where role = 'assistant'
+        ),
+        answers as (select conv_id, turn, n, line from lines where role = 'user'),
+        linked as (
+            select c.*, a.turn as result_turn, a.line as result, o.conv_id is null as lost,
+                '{' || c."limit" || '"query":' || to_json(c.line) || ',"source":{"$from":"' || c.source || '"}}' as arguments
+            from calls c
+            left join answers a on a.conv_id = c.conv_id and a.turn = c.turn + 1 and a.n = c.n
+            left join calls o on o.conv_id = c.conv_id and o.call_id = c.source
+        )
+        select conv_id, turn, call_id, name, level,
+            row_number() over (partition by conv_id order by turn, level, call_id) - 1 as position,
+            arguments,
+            array_to_string(list_filter([
+                case when name = 'draw' then 'unknown tool'
+                    when "limit" = '' and name <> 'lookup' then 'missing limit'
+                    when "limit" like '%all%' then 'wrong type of limit' end,
+                case when lost then 'unknown reference ' || source end,
+                case when result_turn is null then 'no result' end
+            ], lambda x: x is not null), '; ') as problems,
+            result_turn, result,
+            '{"arguments":' || arguments || ',"id":"' || call_id || '","name":"' || name || '","result":'
+                || coalesce(to_json(result)::varchar, 'null') || ',"turn":' || turn || '}' as record
+        from linked
+    """,
 }

@@ -135,11 +135,33 @@ def test_links_are_all_pairs(spark):
             prints.add(q)
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
     for distance in (0, 1, 3, 4):
-        got = sorted((r.a, r.b) for r in simhash.links(spark.createDataFrame(signed, "fp long"), distance).collect())
+        nodes = spark.createDataFrame([(p, [p]) for (p,) in signed], "node long, fps array<long>")
+        got = sorted((r.a, r.b) for r in simhash.links(nodes, distance).collect())
         want = sorted((a, b) for (a,) in signed for (b,) in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= distance)
         assert got == want
 
 
+def test_links_of_several_words_are_all_pairs(spark):
+    rng = random.Random(11)
+    rows = [[rng.getrandbits(64) for _ in range(4)] for _ in range(20)]
+    for own in list(rows):
+        for flips in (5, 20, 31, 38, 44):
+            other = list(own)
+            for bit in rng.sample(range(256), flips):
+                other[bit // 64] ^= 1 << bit % 64
+            rows.append(other)
+    signed = [[w - (1 << 64) if w >> 63 else w for w in r] for r in rows]
+    nodes = spark.createDataFrame(list(enumerate(signed)), "node long, fps array<long>")
+    apart = lambda a, b: [((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(a, b)]
+    for distance, in_word in ((31, None), (40, 7)):
+        got = sorted((r.a, r.b) for r in simhash.links(nodes, distance, 4, in_word).collect())
+        want = [
+            (i, j) for i, a in enumerate(signed) for j, b in enumerate(signed)
+            if i < j and sum(apart(a, b)) <= distance and min(apart(a, b)) <= 7
+        ]
+        assert got == want and len(got) > 40
+
+
 def test_connected(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, b) for b in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
