@@ -160,16 +160,16 @@ def near_duplicates(
     return prints.join(by_node, "node").select("id", "fps", "component")
 
 
-#: At most 40 of 256 bits differ, and at most 7 of one word's 64: texts whose five-word
+#: At most 40 of 256 bits differ, and at most 4 of one word's 64: texts whose five-word
 #: shingles have a similarity of 0.8 to 0.9 differ in some 36, different texts in some 128.
-NEAR_COPY = {"shingle": 5, "words": 4, "distance": 40, "in_word": 7}
+NEAR_COPY = {"shingle": 5, "words": 4, "distance": 40, "in_word": 4}
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The rows of `docs` without near-copies: of each component the row with the smallest id stays.
 
     Near-copies are told by `NEAR_COPY` unless `params` say otherwise: all pairs
-    within 31 bits are found, and those up to 40 bits with a word that differs by at most 7.
+    within 19 bits are found, and those up to 40 bits with a word that differs by at most 4.
 
     Rows without an id stay only where their component has no id at all; of
     repeated rows with one id a single one stays.

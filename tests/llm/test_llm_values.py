@@ -371,7 +371,7 @@ def plain_roots(prints):
         changed = False
         for a, b in itertools.combinations(prints, 2):
             apart = [(x ^ y).bit_count() for x, y in zip(prints[a], prints[b])] if root[a] != root[b] else [64]
-            if sum(apart) <= 40 and min(apart) <= 7:
+            if sum(apart) <= 40 and min(apart) <= 4:
                 low = min(root[a], root[b])
                 root[a] = root[b] = low
                 changed = True
