@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, nearcopies
 
 BITS = 64
 
@@ -160,16 +160,11 @@ def near_duplicates(
     return prints.join(by_node, "node").select("id", "fps", "component")
 
 
-#: At most 40 of 256 bits differ, and at most 4 of one word's 64: texts whose five-word
-#: shingles have a similarity of 0.8 to 0.9 differ in some 36, different texts in some 128.
-NEAR_COPY = {"shingle": 5, "words": 4, "distance": 40, "in_word": 4}
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The rows of `docs` without near-copies: of each component the row with the smallest id stays.
 
-    Near-copies are told by `NEAR_COPY` unless `params` say otherwise: all pairs
-    within 19 bits are found, and those up to 40 bits with a word that differs by at most 4.
+    Near-copies are told by `nearcopies.near_copies`, on the exact similarity of
+    their shingle sets; `params` are its own.
 
     Rows without an id stay only where their component has no id at all; of
     repeated rows with one id a single one stays.
@@ -177,7 +172,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     row = common.unused(docs, "_row")
     keyed = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     # The row number plays the id, so that ties have one winner; ids decide first.
-    found = near_duplicates(keyed, row, text_col, **{**NEAR_COPY, **params}).select(F.col("id").alias("at"), "component")
+    found = nearcopies.near_copies(keyed, row, text_col, **params).select(F.col("row").alias("at"), "component")
     sized = found.join(keyed.select(F.col(row).alias("at"), F.col(id_col).cast("long").alias("own")), "at")
     winners = sized.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("n"), "own", "at")).alias("w"))
     return keyed.join(winners.select(F.col("w.at").alias(row)), row, "left_semi").select(*docs.columns)
