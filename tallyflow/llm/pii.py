@@ -25,10 +25,17 @@ DAY_FIRST = r"(?<![0-9])(?:0[1-9]|[12][0-9]|3[01])\.(?:0[1-9]|1[0-2])\.(?:18|19|
 MONTH_FIRST = r"(?<![0-9])(?:0[1-9]|1[0-2])/(?:0[1-9]|[12][0-9]|3[01])/(?:18|19|20|21)[0-9]{2}(?![0-9])"
 PHONE = (
     r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-    r"|(?:\([0-9]{3}\) ?|(?<![0-9-])[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
+    r"|(?:\([0-9]{3}\) ?|(?<![0-9-])(?:1-)?[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
 )
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}(?![0-9A-Za-z])|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"
+#: Groups of four, or 4-6-5, or a plain run.
+CARD = (
+    r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"
+)
+#: Numbers that are given out: no area 000, 666 or from 900 on, no group 00, no serial 0000.
+GIVEN_SOCIAL = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, ISO_DATE, DAY_FIRST, MONTH_FIRST, SOCIAL, PHONE, CARD, SECRET))
 
@@ -116,6 +123,17 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(digits, weigh), F.lit(0).cast("long"), lambda a, b: a + b)
 
 
+def is_value(value: Column) -> Column:
+    """Whether what `ANY` found is a personal value: a card number's Luhn sum holds, a social security number can be given out."""
+    digits = F.split(F.regexp_replace(value, "[^0-9]", ""), "").cast("array<long>")
+    luhn = _let(digits, lambda d: (luhn_sum(F.slice(d, F.lit(1), F.size(d) - 1)) + F.element_at(d, -1)) % 10 == 0)
+    return (
+        F.when(value.rlike(f"^(?:{SOCIAL})$"), value.rlike(GIVEN_SOCIAL))
+        .when(value.rlike(f"^(?:{CARD})$"), luhn)
+        .otherwise(F.lit(True))
+    )
+
+
 def _card(value: Column, key: str) -> Column:
     """Digits but the last permuted; the last keeps its distance from the right check digit, so valid numbers stay valid."""
 
@@ -154,20 +172,21 @@ def _date(value: Column, pattern: str, key: str) -> Column:
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one value found by `ANY`."""
+    """The pseudonym of one value found by `ANY`; what is no value by `is_value` stays."""
     whole = lambda p: value.rlike(f"^(?:{p})$")
     email = F.concat(
         _characters(F.substring_index(value, "@", 1), _CLASSES, key, "email"), F.lit("@"), F.substring_index(value, "@", -1)
     )
     octets = F.split(value, r"\.").cast("array<long>")
     ipv4 = F.array_join(permute(octets, F.transform(octets, lambda _: F.lit(256).cast("long")), key, "ipv4").cast("array<string>"), ".")
-    country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    country = F.regexp_extract(value, r"^(?:\+[0-9]{1,3}(?=[ .(-])|1(?=-[0-9]{3}-[0-9]{3}-))", 0)
     # A number without a gap after its country code has all digits but the first permuted.
     plain = F.when((country == "") & value.startswith("+"), F.substring(value, F.lit(1), F.lit(2))).otherwise(country)
     rest = F.substring(value, F.length(plain) + 1, F.length(value))
     phone = F.concat(plain, _characters(rest, _CLASSES[:1], key, "phone"))
     return (
-        F.when(value.contains("@"), email)
+        F.when(~is_value(value), value)
+        .when(value.contains("@"), email)
         .when(whole(IPV4), ipv4)
         .when(whole(ISO_DATE) & value.contains("-"), _date(value, "yyyy-MM-dd", key))
         .when(whole(ISO_DATE), _date(value, "yyyy/MM/dd", key))
@@ -186,7 +205,8 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = "change-
 
     `count_col` adds the number of values found.  Emails keep their domain,
     phones their country code, numbers their Luhn validity, dates stay dates; a
-    date that the calendar lacks stays.  Null texts stay null, with count 0, and
+    date that the calendar lacks stays.  Runs like card or social security
+    numbers that cannot be such stay and are not counted.  Null texts stay null, with count 0, and
     empty ones empty.  Rows, also repeated ones, and all other columns stay.
     """
     text = F.col(text_col)
@@ -200,5 +220,5 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = "change-
         return F.array_join(F.zip_with(gaps, images, lambda a, b: F.concat(a, b)), "")
 
     image = F.when(touched, _let(found, lambda v: F.when(F.size(v) == 0, text).otherwise(rebuild(v)))).otherwise(text)
-    out = docs if count_col is None else docs.withColumn(count_col, F.when(touched, F.size(found)).otherwise(F.lit(0)))
+    out = docs if count_col is None else docs.withColumn(count_col, F.when(touched, F.size(F.filter(found, is_value))).otherwise(F.lit(0)))
     return out.withColumn(text_col, image)
