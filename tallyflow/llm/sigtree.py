@@ -34,7 +34,7 @@ GROUPINGS = 3
 SLOT_BITS, CHUNK_BITS = 20, 10
 #: Bits of a hash that trees are told by; a chance meeting is only one more pair to look at.
 TOKEN_BITS = 44
-PRINTS = "row long, id long, n long, node long, least array<long>, hashes binary"
+PRINTS = "row long, id long, n long, node long, least array<long>, chunk int, slots binary, sums binary"
 
 
 def shingle_set(text: bytes, shingle: int = SHINGLE, seed: int = 42):
@@ -204,52 +204,32 @@ def _u8(blob: bytes):
 
 
 def _prints(batches: Iterator, shingle: int) -> Iterator:
+    """A row for each text, and at the end the task's share of the sketch: each chunk with its used slots and their counts."""
     import numpy as np
     import pyarrow as pa
     from xxhash import xxh3_64_intdigest
 
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary()]
+    names = ["row", "id", "n", "node", "least", "chunk", "slots", "sums"]
     mixes = [np.uint64(0x9E3779B97F4A7C15 + 2 * r) for r in range(GROUPINGS)]
-    for batch in common.partial_rows(batches, 200):
-        nodes, sizes, least, blobs = [], [], [], []
-        for text in batch.column(2).to_pylist():
-            own = shingle_set(text or b"", shingle)
-            blob = own.tobytes()
-            nodes.append(xxh3_64_intdigest(blob))
-            sizes.append(len(own))
-            blobs.append(blob)
-            least.append([int((own * m).min().view(np.int64)) for m in mixes] if len(own) else [])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(sizes, pa.int64()),
-                pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                pa.array(least, pa.list_(pa.int64())),
-                pa.array(blobs, pa.binary()),
-            ],
-            names=["row", "id", "n", "node", "least", "hashes"],
-        )
-
-
-def _sketched(batches: Iterator) -> Iterator:
-    """Of all sets of a task: each chunk of the sketch with its used slots and their counts."""
-    import numpy as np
-    import pyarrow as pa
-
     counts = np.zeros(1 << SLOT_BITS, np.uint32)
-    for batch in batches:
-        slots = _u8(b"".join(batch.column(0).to_pylist())) >> np.uint64(64 - SLOT_BITS)
-        counts += np.bincount(slots.astype(np.int64), minlength=len(counts)).astype(np.uint32)
-    chunks, slots, sums = [], [], []
+    for batch in common.partial_rows(batches, 500):
+        sets = [shingle_set(t or b"", shingle) for t in batch.column(2).to_pylist()]
+        slots = np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)
+        np.add.at(counts, slots.astype(np.int64), 1)
+        nodes = np.array([xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64)
+        least = [[int((s * m).min().view(np.int64)) for m in mixes] if len(s) else [] for s in sets]
+        columns = [batch.column(0), batch.column(1), pa.array(list(map(len, sets)), kinds[2]), pa.array(nodes.view(np.int64)), pa.array(least, kinds[4])]
+        yield pa.RecordBatch.from_arrays(columns + [pa.nulls(len(sets), k) for k in kinds[5:]], names=names)
+    chunks, used, sums = [], [], []
     for chunk, part in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)):
-        used = np.flatnonzero(part)
-        if len(used):
+        at = np.flatnonzero(part)
+        if len(at):
             chunks.append(chunk)
-            slots.append(used.astype(np.uint16).tobytes())
-            sums.append(part[used].tobytes())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(chunks, pa.int32()), pa.array(slots, pa.binary()), pa.array(sums, pa.binary())], names=["chunk", "slots", "sums"]
-    )
+            used.append(at.astype(np.uint16).tobytes())
+            sums.append(part[at].tobytes())
+    shares = [pa.array(c, k) for c, k in zip((chunks, used, sums), kinds[5:])]
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(chunks), k) for k in kinds[:5]] + shares, names=names)
 
 
 def _summed(batches: Iterator) -> Iterator:
@@ -266,21 +246,26 @@ def _summed(batches: Iterator) -> Iterator:
     )
 
 
-def _prefixes(batches: Iterator, similar: int, sketch) -> Iterator:
+def _prefixes(batches: Iterator, shingle: int, similar: int, sketch) -> Iterator:
     import numpy as np
     import pyarrow as pa
 
     often = np.frombuffer(sketch.value, np.uint64)
     for batch in common.partial_rows(batches, 500):
-        found = []
-        for blob in batch.column(1).to_pylist():
-            own = _u8(blob)
+        found, sizes, shared, bits = [], [], [], []
+        for text in batch.column(1).to_pylist():
+            own = shingle_set(text, shingle)
             # Seldom shingles first: any order is right, this one keeps trees small.
             order = np.argsort(often[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
             found.append(own[order[: prefix_length(len(own), similar)]] >> np.uint64(64 - TOKEN_BITS))
+            words, double = bitmap(own, width_of(len(own)))
+            sizes.append(len(own))
+            shared.append(double)
+            bits.append(words.tobytes())
         ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
         tokens = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), tokens], names=["row", "tokens"])
+        columns = [pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), pa.array(bits, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), tokens, *columns], names=["row", "tokens", "n", "shared", "bits"])
 
 
 def _runs(batches: Iterator, keys: int) -> Iterator:
@@ -304,11 +289,11 @@ def _pairs_batch(pairs: list):
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _whole_links(batches: Iterator, similar: int) -> Iterator:
+def _whole_links(batches: Iterator, shingle: int, similar: int) -> Iterator:
     links: list = []
     for _, rows in _runs(batches, 2):
         if len(rows) > 1:
-            links += spanning_links([r[0] for r in rows], [_u8(r[1]) for r in rows], similar)
+            links += spanning_links([r[0] for r in rows], [shingle_set(r[1], shingle) for r in rows], similar)
         if len(links) > 10000:
             yield _pairs_batch(links)
             links = []
@@ -316,22 +301,22 @@ def _whole_links(batches: Iterator, similar: int) -> Iterator:
 
 
 def _leaf_maps(batches: Iterator) -> Iterator:
-    """Each leaf's sizes and bitmap, from runs of its sets."""
+    """Each leaf's sizes and bitmap, from runs of its sets' own."""
     import numpy as np
     import pyarrow as pa
 
+    names, kinds = ["leaf", "comp", "low", "high", "shared", "bits"], [pa.int64()] * 5 + [pa.binary()]
+
     def packed(out):
-        columns = list(zip(*out)) if out else [()] * 6
-        kinds = [pa.int64()] * 5 + [pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["leaf", "comp", "low", "high", "shared", "bits"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 6, kinds)], names=names)
 
     out: list = []
     for (leaf, comp), rows in _runs(batches, 2):
-        nodes = nodes_of([_u8(r[0]) for r in rows])
-        bits = np.bitwise_or.reduce(nodes.bits, axis=0).tobytes()
-        out.append((leaf, comp, int(nodes.low.min()), int(nodes.high.max()), int(nodes.shared.max()), bits))
+        sizes, shared, bits = zip(*rows)
+        if len(rows) > 1:
+            bits = widened([_u8(b) for b in bits], max(map(len, bits)) // 8)
+            bits = [np.bitwise_or.reduce(bits, axis=0).tobytes()]
+        out.append((leaf, comp, min(sizes), max(sizes), max(shared), bits[0]))
         if len(out) >= 1000:
             yield packed(out)
             out = []
@@ -365,6 +350,14 @@ def _leaf_pairs(batches: Iterator, similar: int) -> Iterator:
     yield _pairs_batch(list(found))
 
 
+def _sets(batches: Iterator, shingle: int) -> Iterator:
+    import pyarrow as pa
+
+    for batch in common.partial_rows(batches, 500):
+        hashes = [shingle_set(t, shingle).tobytes() for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.binary())], names=["leaf", "comp", "hashes"])
+
+
 def _verified(batches: Iterator, similar: int) -> Iterator:
     """One link for each pair of leaves that has one: all sets of a leaf are of one component anyway."""
     import numpy as np
@@ -384,20 +377,27 @@ def _verified(batches: Iterator, similar: int) -> Iterator:
 
 
 # --- the join --------------------------------------------------------------
-def _sketch(prints: DataFrame) -> bytes:
+class Job(NamedTuple):
+    """What all steps need: the stored texts (`row`, `text`), the rule, and the parts that large steps are dealt out to."""
+
+    texts: DataFrame
+    shingle: int
+    similar: int
+    tasks: int
+
+
+def _sketch(prints: DataFrame, job: Job) -> bytes:
     """How often shingles occur, counted in slots by their hashes over all rows; its size is fixed."""
     import numpy as np
 
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = prints.select("hashes").mapInArrow(_sketched, "chunk int, slots binary, sums binary")
-    whole = parts.repartition(tasks, "chunk").mapInArrow(_summed, "chunk int, sums binary")
+    parts = prints.where("chunk is not null").select("chunk", "slots", "sums")
     out = np.zeros((1 << (SLOT_BITS - CHUNK_BITS), 1 << CHUNK_BITS), np.uint64)
-    for row in whole.collect():
-        out[row.chunk] = np.frombuffer(row.sums, np.uint64)
+    for row in parts.repartition(job.tasks, "chunk").mapInArrow(_summed, "chunk int, sums binary").collect():
+        out[row.chunk] += np.frombuffer(row.sums, np.uint64)
     return out.tobytes()
 
 
-def _close_links(prints: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
+def _close_links(prints: DataFrame, nodes: DataFrame, job: Job) -> DataFrame:
     """Links of whole sets that have a least hash in common, in trees of at most about `WHOLE` sets."""
     kept = prints.select("row", "node", F.posexplode("least").alias("turn", "token")).join(nodes.select("row"), "row", "left_semi")
     kept = common.stored(kept, "least")
@@ -408,34 +408,32 @@ def _close_links(prints: DataFrame, nodes: DataFrame, similar: int) -> DataFrame
     groups = groups.groupBy(once.alias("k")).agg(F.min(F.struct("turn", "token", "trees")).alias("g")).select("g.*")
     placed = kept.join(groups, ["turn", "token"])
     places = placed.select("row", "node", F.xxhash64("turn", "token").alias("tree"), F.expr("pmod(xxhash64(node, turn), trees)").alias("part"))
-    whole = prints.select("row", "hashes").join(places, "row").select("tree", "part", "node", "hashes")
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = whole.repartition(tasks, "tree", "part").sortWithinPartitions("tree", "part")
-    return common.stored(whole.mapInArrow(partial(_whole_links, similar=similar), "a long, b long"), "close")
+    # Stored, so that its size is known and texts are only shuffled for it where it is large.
+    whole = job.texts.join(common.stored(places, "places"), "row").select("tree", "part", "node", "text")
+    whole = whole.repartition(job.tasks, "tree", "part").sortWithinPartitions("tree", "part")
+    links = whole.mapInArrow(partial(_whole_links, shingle=job.shingle, similar=job.similar), "a long, b long")
+    return common.stored(links, "close")
 
 
 def _placed(nodes: DataFrame, close: DataFrame) -> DataFrame:
     """`row`, `node`, `comp`, `leaf` of every set: leaves hold up to `LEAF` sets of a component that are near in size."""
     roots = common.connected(close).select(F.col("node").alias("n"), "root")
-    known = common.stored(nodes.join(roots, F.col("node") == F.col("n"), "left").select("row", "node", "n", "first", "size", "root"), "comps")
+    known = common.stored(nodes.join(roots, F.col("node") == F.col("n"), "left").select("row", "node", "first", "size", "root"), "comps")
     many = common.dense_positions(known.where("root is not null").withColumn("comp", F.col("root")), ["comp"], ["size", "node"], "at")
     alone = known.where("root is null").select("*", F.col("node").alias("comp"), F.lit(0).cast("long").alias("at"))
     both = many.unionByName(alone).withColumn("leaf", F.expr(f"xxhash64(comp, at div {LEAF})"))
     return common.stored(both.select("row", "node", "first", "comp", "leaf"), "placed")
 
 
-def _leaves_that_meet(prints: DataFrame, placed: DataFrame, similar: int) -> DataFrame:
+def _leaves_that_meet(tokens: DataFrame) -> DataFrame:
     """`tree`, `part`, `other`, `side`, `leaf`: trees of leaves that have a prefix token in common, of two components or more."""
-    spark = prints.sparkSession
-    sketch = spark.sparkContext.broadcast(_sketch(prints))
-    tokens = prints.select("row", "hashes").mapInArrow(partial(_prefixes, similar=similar, sketch=sketch), "row long, tokens array<long>")
-    meets = tokens.join(placed.select("row", "comp", "leaf"), "row").select(F.explode("tokens").alias("token"), "comp", "leaf")
-    meets = common.stored(meets.groupBy("token", "comp", "leaf").agg(F.lit(0).alias("_")).drop("_"), "meets")
+    meets = tokens.select(F.explode("tokens").alias("token"), "comp", "leaf").groupBy("token", "comp", "leaf").agg(F.lit(0).alias("_"))
+    meets = common.stored(meets.drop("_"), "meets")
     trees = meets.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.expr("bit_xor(xxhash64(leaf))").alias("leaves")
     )
     trees = trees.where("lo < hi").groupBy("size", "leaves").agg(F.min("token").alias("token"))
-    trees = trees.select("token", F.expr(f"cast(ceil(size / {LARGEST}) as int)").alias("parts"))
+    trees = common.stored(trees.select("token", F.expr(f"cast(ceil(size / {LARGEST}) as int)").alias("parts")), "tokens")
     kept = meets.join(trees, "token").withColumn("own", F.expr("cast(pmod(xxhash64(leaf), parts) as int)"))
     # Part i of a tree is descended with itself and with every other part.
     pairs = F.expr(
@@ -445,28 +443,34 @@ def _leaves_that_meet(prints: DataFrame, placed: DataFrame, similar: int) -> Dat
     return kept.select(F.col("token").alias("tree"), F.explode(pairs).alias("p"), "leaf").select("tree", "p.*", "leaf")
 
 
-def _far_links(prints: DataFrame, placed: DataFrame, similar: int) -> DataFrame:
+def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     """Components that a link joins, as pairs `a`, `b`."""
-    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = common.stored(_leaves_that_meet(prints, placed, similar), "trees")
-    wanted = met.select("leaf").distinct()
-    sets = prints.select("row", "hashes").join(placed.join(wanted, "leaf", "left_semi").select("row", "leaf", "comp"), "row")
-    sets = common.stored(sets.select("leaf", "comp", "hashes"), "sets")
-    ordered = sets.repartition(tasks, "leaf", "comp").sortWithinPartitions("leaf", "comp")
-    maps = ordered.mapInArrow(_leaf_maps, "leaf long, comp long, low long, high long, shared long, bits binary")
+    sketch = prints.sparkSession.sparkContext.broadcast(_sketch(prints, job))
+    spots = placed.select("row", "comp", "leaf")
+    prefixes = job.texts.join(spots, "row", "left_semi").mapInArrow(
+        partial(_prefixes, shingle=job.shingle, similar=job.similar, sketch=sketch),
+        "row long, tokens array<long>, n long, shared long, bits binary",
+    )
+    prefixes = common.stored(prefixes, "prefixes").join(spots, "row")
+    met = common.stored(_leaves_that_meet(prefixes.select("tokens", "comp", "leaf")), "trees")
+    wanted = common.stored(met.select("leaf").distinct(), "wanted")
+    maps = prefixes.join(wanted, "leaf", "left_semi").select("leaf", "comp", "n", "shared", "bits")
+    maps = maps.repartition(job.tasks, "leaf", "comp").sortWithinPartitions("leaf", "comp")
+    maps = maps.mapInArrow(_leaf_maps, "leaf long, comp long, low long, high long, shared long, bits binary")
     hung = met.join(common.stored(maps, "maps"), "leaf")
     # One tree's parts are at most `LARGEST` leaves, so no key is hot.
     hung = hung.select("tree", "part", "other", "side", "leaf", "comp", "low", "high", "shared", "bits")
-    hung = hung.repartition(tasks, "tree", "part", "other").sortWithinPartitions("tree", "part", "other")
-    pairs = common.stored(hung.mapInArrow(partial(_leaf_pairs, similar=similar), "a long, b long").distinct(), "pairs")
-    used = pairs.selectExpr("explode(array(a, b)) as leaf").distinct()
+    hung = hung.repartition(job.tasks, "tree", "part", "other").sortWithinPartitions("tree", "part", "other")
+    pairs = common.stored(hung.mapInArrow(partial(_leaf_pairs, similar=job.similar), "a long, b long").distinct(), "pairs")
+    used = common.stored(spots.join(pairs.selectExpr("explode(array(a, b)) as leaf").distinct(), "leaf", "left_semi"), "used")
+    sets = job.texts.join(used, "row").select("leaf", "comp", "text")
+    sets = sets.mapInArrow(partial(_sets, shingle=job.shingle), "leaf long, comp long, hashes binary")
     # A leaf is at most `LEAF` sets.
-    packed = sets.join(used, "leaf", "left_semi").groupBy("leaf", "comp").agg(F.collect_list("hashes").alias("sets"))
-    packed = common.stored(packed, "leaves")
+    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list("hashes").alias("sets")), "leaves")
     both = pairs.join(packed.select(F.col("leaf").alias("a"), F.col("comp").alias("ca"), F.col("sets").alias("xs")), "a")
     both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("sets").alias("ys")), "b")
     both = both.select("ca", "cb", "xs", "ys")
-    return common.stored(both.mapInArrow(partial(_verified, similar=similar), "a long, b long"), "far")
+    return common.stored(both.mapInArrow(partial(_verified, similar=job.similar), "a long, b long"), "far")
 
 
 def jaccard_components(
@@ -484,19 +488,23 @@ def jaccard_components(
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).cast("string").cast("binary").alias("text"),
+        common.text_or_empty(text_col).cast("binary").alias("text"),
     )
+    # Texts take less room than their hashes, so these are made anew where they are needed.
+    rows = common.stored(rows, "texts")
+    job = Job(rows.select("row", "text"), shingle, similar, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     prints = common.stored(rows.mapInArrow(partial(_prints, shingle=shingle), PRINTS), "prints")
     # Rows with equal sets are one node, and its least row stands for all of them.
     full = prints.where("n > 0")
     nodes = full.groupBy("node").agg(F.min("row").alias("row"), F.min("id").alias("first"), F.min("n").alias("size"))
     nodes = common.stored(nodes, "nodes")
-    placed = _placed(nodes, _close_links(full, nodes, similar))
-    roots = common.connected(_far_links(full, placed, similar)).select(F.col("node").alias("c"), "root")
+    placed = _placed(nodes, _close_links(full, nodes, job))
+    roots = common.connected(_far_links(prints, placed, job)).select(F.col("node").alias("c"), "root")
     rooted = placed.join(roots, F.col("comp") == F.col("c"), "left").select("node", "first", F.coalesce("root", "comp").alias("root"))
     rooted = common.stored(rooted, "rooted")
     classes = rooted.groupBy("root").agg(F.min("first").alias("component"))
     by_node = rooted.join(classes, "root").select(F.col("node").alias("at"), "component")
-    found = prints.select("id", "n", "node").join(by_node, (F.col("node") == F.col("at")) & (F.col("n") > 0), "left")
+    told = prints.where("n is not null")
+    found = told.select("id", "n", "node").join(by_node, (F.col("node") == F.col("at")) & (F.col("n") > 0), "left")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return found.select("id", F.col("n").alias("n_shingles"), own.alias("component"))
