@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -34,6 +34,7 @@ GROUPINGS = 3
 SLOT_BITS, CHUNK_BITS = 20, 10
 #: Bits of a hash that trees are told by; a chance meeting is only one more pair to look at.
 TOKEN_BITS = 44
+LEAVES = "leaf long, comp long, low long, high long, shared long, bits binary, tokens array<long>"
 PRINTS = "row long, id long, n long, node long, least array<long>, chunk int, slots binary, sums binary"
 
 
@@ -300,24 +301,24 @@ def _whole_links(batches: Iterator, shingle: int, similar: int) -> Iterator:
     yield _pairs_batch(links)
 
 
-def _leaf_maps(batches: Iterator) -> Iterator:
-    """Each leaf's sizes and bitmap, from runs of its sets' own."""
+def _leaves(batches: Iterator) -> Iterator:
+    """Each leaf's sizes, bitmap and prefix tokens, from runs of its sets' own."""
     import numpy as np
     import pyarrow as pa
 
-    names, kinds = ["leaf", "comp", "low", "high", "shared", "bits"], [pa.int64()] * 5 + [pa.binary()]
+    names, kinds = LEAVES.replace(",", "").split()[::2], [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64())]
 
     def packed(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 6, kinds)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 7, kinds)], names=names)
 
     out: list = []
     for (leaf, comp), rows in _runs(batches, 2):
-        sizes, shared, bits = zip(*rows)
+        sizes, shared, bits, tokens = zip(*rows)
         if len(rows) > 1:
-            bits = widened([_u8(b) for b in bits], max(map(len, bits)) // 8)
-            bits = [np.bitwise_or.reduce(bits, axis=0).tobytes()]
-        out.append((leaf, comp, min(sizes), max(sizes), max(shared), bits[0]))
-        if len(out) >= 1000:
+            bits = [np.bitwise_or.reduce(widened([_u8(b) for b in bits], max(map(len, bits)) // 8), axis=0).tobytes()]
+            tokens = [np.unique(np.concatenate([np.array(t, np.int64) for t in tokens]))]
+        out.append((leaf, comp, min(sizes), max(sizes), max(shared), bits[0], tokens[0]))
+        if len(out) >= 500:
             yield packed(out)
             out = []
     yield packed(out)
@@ -331,19 +332,23 @@ def _leaf_pairs(batches: Iterator, similar: int) -> Iterator:
         low, high, shared = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5))
         return Nodes(low, high, shared, widened([_u8(r[6]) for r in rows], words))
 
+    def names(rows):
+        return (np.array([r[i] for r in rows], np.int64) for i in (1, 2))
+
     found: set = set()
     for _, rows in _runs(batches, 3):
         rows.sort(key=lambda r: (r[3], r[1]))
         words = max(len(r[6]) for r in rows) // 8
         left, right = [r for r in rows if r[0] != 1], [r for r in rows if r[0] == 1]
-        one_tree = rows[0][0] == 2
-        if not left or not (one_tree or right):
+        right = left if rows[0][0] == 2 else right
+        if not left or not right:
             continue
-        for i, j in descend(nodes(left, words), None if one_tree else nodes(right, words), similar):
-            for x, y in zip(i.tolist(), j.tolist()):
-                a, b = left[x], (left if one_tree else right)[y]
-                if a[2] != b[2]:
-                    found.add((a[1], b[1]) if a[2] < b[2] else (b[1], a[1]))
+        (la, ca), (lb, cb) = names(left), names(right)
+        for i, j in descend(nodes(left, words), None if left is right else nodes(right, words), similar):
+            far = ca[i] != cb[j]
+            i, j = i[far], j[far]
+            first = ca[i] < cb[j]
+            found.update(zip(np.where(first, la[i], lb[j]).tolist(), np.where(first, lb[j], la[i]).tolist()))
         if len(found) > 100000:
             yield _pairs_batch(list(found))
             found = set()
@@ -425,16 +430,16 @@ def _placed(nodes: DataFrame, close: DataFrame) -> DataFrame:
     return common.stored(both.select("row", "node", "first", "comp", "leaf"), "placed")
 
 
-def _leaves_that_meet(tokens: DataFrame) -> DataFrame:
-    """`tree`, `part`, `other`, `side`, `leaf`: trees of leaves that have a prefix token in common, of two components or more."""
-    meets = tokens.select(F.explode("tokens").alias("token"), "comp", "leaf").groupBy("token", "comp", "leaf").agg(F.lit(0).alias("_"))
-    meets = common.stored(meets.drop("_"), "meets")
-    trees = meets.groupBy("token").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.expr("bit_xor(xxhash64(leaf))").alias("leaves")
-    )
-    trees = trees.where("lo < hi").groupBy("size", "leaves").agg(F.min("token").alias("token"))
-    trees = common.stored(trees.select("token", F.expr(f"cast(ceil(size / {LARGEST}) as int)").alias("parts")), "tokens")
-    kept = meets.join(trees, "token").withColumn("own", F.expr("cast(pmod(xxhash64(leaf), parts) as int)"))
+def _trees(leaves: DataFrame) -> DataFrame:
+    """`tree`, `part`, `other`, `side`, `leaf`: trees of leaves that have a prefix token in common."""
+    # Leaves of one component are at most a 64th of its sets, so what a token brings together is small.
+    meets = leaves.select(F.explode("tokens").alias("token"), "leaf")
+    same = Window.partitionBy("token")
+    meets = meets.withColumn("size", F.count("*").over(same)).withColumn("leaves", F.expr("bit_xor(xxhash64(leaf))").over(same))
+    meets = common.stored(meets.where("size > 1"), "meets")
+    once = meets.groupBy("size", "leaves").agg(F.min("token").alias("token"))
+    once = common.stored(once.select("token", F.expr(f"cast(ceil(size / {LARGEST}) as int)").alias("parts")), "tokens")
+    kept = meets.select("token", "leaf").join(once, "token").withColumn("own", F.expr("cast(pmod(xxhash64(leaf), parts) as int)"))
     # Part i of a tree is descended with itself and with every other part.
     pairs = F.expr(
         "transform(sequence(0, parts - 1), o -> struct(least(own, o) as part, greatest(own, o) as other,"
@@ -447,17 +452,14 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     """Components that a link joins, as pairs `a`, `b`."""
     sketch = prints.sparkSession.sparkContext.broadcast(_sketch(prints, job))
     spots = placed.select("row", "comp", "leaf")
-    prefixes = job.texts.join(spots, "row", "left_semi").mapInArrow(
+    prefixes = job.texts.mapInArrow(
         partial(_prefixes, shingle=job.shingle, similar=job.similar, sketch=sketch),
         "row long, tokens array<long>, n long, shared long, bits binary",
     )
-    prefixes = common.stored(prefixes, "prefixes").join(spots, "row")
-    met = common.stored(_leaves_that_meet(prefixes.select("tokens", "comp", "leaf")), "trees")
-    wanted = common.stored(met.select("leaf").distinct(), "wanted")
-    maps = prefixes.join(wanted, "leaf", "left_semi").select("leaf", "comp", "n", "shared", "bits")
-    maps = maps.repartition(job.tasks, "leaf", "comp").sortWithinPartitions("leaf", "comp")
-    maps = maps.mapInArrow(_leaf_maps, "leaf long, comp long, low long, high long, shared long, bits binary")
-    hung = met.join(common.stored(maps, "maps"), "leaf")
+    prefixes = prefixes.where("n > 0").join(spots, "row").select("leaf", "comp", "n", "shared", "bits", "tokens")
+    prefixes = prefixes.repartition(job.tasks, "leaf", "comp").sortWithinPartitions("leaf", "comp")
+    leaves = common.stored(prefixes.mapInArrow(_leaves, LEAVES), "leaves")
+    hung = common.stored(_trees(leaves), "trees").join(leaves.drop("tokens"), "leaf")
     # One tree's parts are at most `LARGEST` leaves, so no key is hot.
     hung = hung.select("tree", "part", "other", "side", "leaf", "comp", "low", "high", "shared", "bits")
     hung = hung.repartition(job.tasks, "tree", "part", "other").sortWithinPartitions("tree", "part", "other")
@@ -466,7 +468,7 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     sets = job.texts.join(used, "row").select("leaf", "comp", "text")
     sets = sets.mapInArrow(partial(_sets, shingle=job.shingle), "leaf long, comp long, hashes binary")
     # A leaf is at most `LEAF` sets.
-    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list("hashes").alias("sets")), "leaves")
+    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list("hashes").alias("sets")), "sets")
     both = pairs.join(packed.select(F.col("leaf").alias("a"), F.col("comp").alias("ca"), F.col("sets").alias("xs")), "a")
     both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("sets").alias("ys")), "b")
     both = both.select("ca", "cb", "xs", "ys")
