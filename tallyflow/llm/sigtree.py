@@ -35,6 +35,7 @@ SLOT_BITS, CHUNK_BITS = 20, 10
 #: Bits of a hash that trees are told by; a chance meeting is only one more pair to look at.
 TOKEN_BITS = 44
 LEAVES = "leaf long, comp long, low long, high long, shared long, bits binary, tokens array<long>"
+SETS = "leaf long, comp long, row long, n long, shared long, bits binary, hashes binary"
 PRINTS = "row long, id long, n long, node long, least array<long>, chunk int, slots binary, sums binary"
 
 
@@ -356,29 +357,46 @@ def _leaf_pairs(batches: Iterator, similar: int) -> Iterator:
 
 
 def _sets(batches: Iterator, shingle: int) -> Iterator:
+    """Of a leaf's rows: the size, shared bits, bitmap and hashes of each."""
     import pyarrow as pa
 
     for batch in common.partial_rows(batches, 500):
-        hashes = [shingle_set(t, shingle).tobytes() for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.binary())], names=["leaf", "comp", "hashes"])
-
-
-def _verified(batches: Iterator, similar: int) -> Iterator:
-    """One link for each pair of leaves that has one: all sets of a leaf are of one component anyway."""
+        sets = [shingle_set(t, shingle) for t in batch.column(3).to_pylist()]
+        maps = [bitmap(s, width_of(len(s))) for s in sets]
+        columns = [
+            pa.array([len(s) for s in sets], pa.int64()),
+            pa.array([m[1] for m in maps], pa.int64()),
+            pa.array([m[0].tobytes() for m in maps], pa.binary()),
+            pa.array([s.tobytes() for s in sets], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=SETS.replace(",", "").split()[::2])
+
+
+def _near_sets(batches: Iterator, similar: int) -> Iterator:
+    """Rows of two leaves whose own bitmaps say that they can link, with their components."""
     import numpy as np
     import pyarrow as pa
 
-    for batch in common.partial_rows(batches, 64):
-        links = []
+    def nodes(sets, words):
+        low, shared = (np.array([s[k] for s in sets], np.int64) for k in ("n", "shared"))
+        return Nodes(low, low, shared, widened([_u8(s["bits"]) for s in sets], words))
+
+    for batch in common.partial_rows(batches, 500):
+        found = []
         for ca, cb, xs, ys in zip(*(c.to_pylist() for c in batch.columns)):
-            xs, ys = ([_u8(s) for s in sets] for sets in (xs, ys))
-            words = width_of(max(map(len, xs + ys))) // 64
-            sides = [n._replace(bits=widened(list(n.bits), words)) for n in (nodes_of(xs), nodes_of(ys))]
+            words = max(len(s["bits"]) for s in xs + ys) // 8
             i, j = (g.reshape(-1) for g in np.meshgrid(np.arange(len(xs)), np.arange(len(ys)), indexing="ij"))
-            near = can_link(*sides, i, j, similar)
-            if any(similar_sets(xs[x], ys[y], similar) for x, y in zip(i[near], j[near])):
-                links.append((ca, cb))
-        yield _pairs_batch(links)
+            near = can_link(nodes(xs, words), nodes(ys, words), i, j, similar)
+            found += [(ca, cb, xs[x]["row"], ys[y]["row"]) for x, y in zip(i[near], j[near])]
+        columns = list(zip(*found)) if found else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["ca", "cb", "x", "y"])
+
+
+def _verified(batches: Iterator, similar: int) -> Iterator:
+    for batch in common.partial_rows(batches, 1000):
+        yield _pairs_batch(
+            [(ca, cb) for ca, cb, x, y in zip(*(c.to_pylist() for c in batch.columns)) if similar_sets(_u8(x), _u8(y), similar)]
+        )
 
 
 # --- the join --------------------------------------------------------------
@@ -465,14 +483,18 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     hung = hung.repartition(job.tasks, "tree", "part", "other").sortWithinPartitions("tree", "part", "other")
     pairs = common.stored(hung.mapInArrow(partial(_leaf_pairs, similar=job.similar), "a long, b long").distinct(), "pairs")
     used = common.stored(spots.join(pairs.selectExpr("explode(array(a, b)) as leaf").distinct(), "leaf", "left_semi"), "used")
-    sets = job.texts.join(used, "row").select("leaf", "comp", "text")
-    sets = sets.mapInArrow(partial(_sets, shingle=job.shingle), "leaf long, comp long, hashes binary")
-    # A leaf is at most `LEAF` sets.
-    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list("hashes").alias("sets")), "sets")
-    both = pairs.join(packed.select(F.col("leaf").alias("a"), F.col("comp").alias("ca"), F.col("sets").alias("xs")), "a")
-    both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("sets").alias("ys")), "b")
-    both = both.select("ca", "cb", "xs", "ys")
-    return common.stored(both.mapInArrow(partial(_verified, similar=job.similar), "a long, b long"), "far")
+    sets = job.texts.join(used, "row").select("leaf", "comp", "row", "text").mapInArrow(partial(_sets, shingle=job.shingle), SETS)
+    sets = common.stored(sets, "sets")
+    # A leaf is at most `LEAF` sets, and only their bitmaps move here.
+    own = F.struct("row", "n", "shared", "bits")
+    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list(own).alias("own")), "packed")
+    both = pairs.join(packed.select(F.col("leaf").alias("a"), F.col("comp").alias("ca"), F.col("own").alias("xs")), "a")
+    both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("own").alias("ys")), "b")
+    near = both.select("ca", "cb", "xs", "ys").mapInArrow(partial(_near_sets, similar=job.similar), "ca long, cb long, x long, y long")
+    near = common.stored(near, "near")
+    whole = near.join(sets.select(F.col("row").alias("x"), F.col("hashes").alias("xs")), "x")
+    whole = whole.join(sets.select(F.col("row").alias("y"), F.col("hashes").alias("ys")), "y").select("ca", "cb", "xs", "ys")
+    return common.stored(whole.mapInArrow(partial(_verified, similar=job.similar), "a long, b long").distinct(), "far")
 
 
 def jaccard_components(
