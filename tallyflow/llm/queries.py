@@ -25,7 +25,10 @@ def sound_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pivot_distance_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = sound_vectors(spark, sf_dir).select(
         F.col("vec_id").cast("long").alias("id"),
-        F.expr("transform(e, x -> cast(floor(64 * x) as bigint))").alias("v"),
+        # A double below 2^63 has its floor in a long; larger ones would become another number.
+        F.expr("transform(e, x -> if(abs(64 * x) < 9.2e18D, floor(64 * x), raise_error('op1: a component is too large')))")
+        .cast("array<bigint>")
+        .alias("v"),
         (F.col("vec_id") % 20 == 0).alias("asks"),
     )
     found = topk.top_k(vectors, k=20)
