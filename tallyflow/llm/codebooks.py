@@ -237,12 +237,12 @@ def compress(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds: int
     most = full.agg(F.max(F.size("v")), F.max(F.array_max("v")), F.min(F.array_min("v"))).first()
     if most[0] is None:
         return spark.createDataFrame([], "id long, label int, codes binary, error long"), None
-    width = -(-most[0] // parts)
+    width = max(1, -(-most[0] // parts))
     large = max(abs(most[1] or 0), abs(most[2] or 0), 1)
-    if 4 * parts * max(width, 1) * large**2 >= 2**63:
+    if 4 * parts * width * large**2 >= 2**63:
         raise ValueError(f"components of up to {large} are too large for whole squared distances")
     kind = "i2" if large < 2**15 else "i4" if large < 2**31 else "i8"
-    exact = "f8" if 4 * max(width, 1) * large**2 < 2**53 else "i8"
+    exact = "f8" if 4 * width * large**2 < 2**53 else "i8"
     rows = common.stored(full.mapInArrow(partial(_pack, size=parts * width, kind=kind), "id long, label int, v binary"), "vectors")
     # As many rows as a codebook has entries.
     first = np.array([np.frombuffer(r.v, kind) for r in rows.orderBy("id", full_order("v")).limit(entries).select("v").collect()])

@@ -399,6 +399,18 @@ def _verified(batches: Iterator, similar: int) -> Iterator:
         )
 
 
+def _similar_texts(batches: Iterator, shingle: int, similar: int) -> Iterator:
+    last, own = None, None
+    for batch in common.partial_rows(batches, 500):
+        links = []
+        for a, b, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
+            if a != last:
+                last, own = a, shingle_set(ta, shingle)
+            if similar_sets(own, shingle_set(tb, shingle), similar):
+                links.append((a, b))
+        yield _pairs_batch(links)
+
+
 # --- the join --------------------------------------------------------------
 class Job(NamedTuple):
     """What all steps need: the stored texts (`row`, `text`), the rule, and the parts that large steps are dealt out to."""
@@ -438,6 +450,16 @@ def _close_links(prints: DataFrame, nodes: DataFrame, job: Job) -> DataFrame:
     return common.stored(links, "close")
 
 
+def _told_links(told: DataFrame, prints: DataFrame, nodes: DataFrame, job: Job) -> DataFrame:
+    """Those of the pairs of ids told by the caller whose whole sets are similar enough, as pairs of nodes."""
+    ids = prints.where("n > 0").select("id", "node")
+    pairs = told.join(ids.toDF("a", "x"), "a").join(ids.toDF("b", "y"), "b").where("x <> y").select("x", "y").distinct()
+    pairs = common.stored(pairs, "told")
+    texts = common.stored(nodes.select("row", "node").join(job.texts, "row").select("node", "text"), "node-texts")
+    both = pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y").select("x", "y", "tx", "ty").sortWithinPartitions("x")
+    return common.stored(both.mapInArrow(partial(_similar_texts, shingle=job.shingle, similar=job.similar), "a long, b long"), "told-links")
+
+
 def _placed(nodes: DataFrame, close: DataFrame) -> DataFrame:
     """`row`, `node`, `comp`, `leaf` of every set: leaves hold up to `LEAF` sets of a component that are near in size."""
     roots = common.connected(close).select(F.col("node").alias("n"), "root")
@@ -498,7 +520,12 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similar: int = SIMILAR
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    similar: int = SIMILAR,
+    told: DataFrame | None = None,
 ) -> DataFrame:
     """`id`, `n_shingles`, `component` of every row.
 
@@ -508,6 +535,10 @@ def jaccard_components(
     nothing, also not with its like.  Repeated rows are rows of their own and
     linked with each other; a null id is a component's only where no row of it
     has an id.  An empty table gives no rows.
+
+    `told` has pairs `a`, `b` of ids that another search holds for near.  They
+    are verified like all others and only spare work: the result is the same
+    without them.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -522,7 +553,10 @@ def jaccard_components(
     full = prints.where("n > 0")
     nodes = full.groupBy("node").agg(F.min("row").alias("row"), F.min("id").alias("first"), F.min("n").alias("size"))
     nodes = common.stored(nodes, "nodes")
-    placed = _placed(nodes, _close_links(full, nodes, job))
+    close = _close_links(full, nodes, job)
+    if told is not None:
+        close = close.unionByName(_told_links(told, prints, nodes, job))
+    placed = _placed(nodes, close)
     roots = common.connected(_far_links(prints, placed, job)).select(F.col("node").alias("c"), "root")
     rooted = placed.join(roots, F.col("comp") == F.col("c"), "left").select("node", "first", F.coalesce("root", "comp").alias("root"))
     rooted = common.stored(rooted, "rooted")

@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, nearcopies
+from . import common, sigtree
 
 BITS = 64
 
@@ -160,19 +160,28 @@ def near_duplicates(
     return prints.join(by_node, "node").select("id", "fps", "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 4, similar: int = 80
+) -> DataFrame:
     """The rows of `docs` without near-copies: of each component the row with the smallest id stays.
 
-    Near-copies are told by `nearcopies.near_copies`, on the exact similarity of
-    their shingle sets; `params` are its own.
+    Fingerprints within `distance` bits tell near-copies, each held against the
+    first row of its component; a link counts if `similar` percent of the union
+    of both whole shingle sets is common.  So few bits miss texts near that
+    bound, and `sigtree.jaccard_components` adds the links that are left.
 
-    Rows without an id stay only where their component has no id at all; of
-    repeated rows with one id a single one stays.
+    Texts without words (null or empty) are copies of each other.  Rows without
+    an id stay only where their component has no id at all; of repeated rows with
+    one id a single one stays.  An empty table gives no rows.
     """
     row = common.unused(docs, "_row")
     keyed = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     # The row number plays the id, so that ties have one winner; ids decide first.
-    found = nearcopies.near_copies(keyed, row, text_col, **params).select(F.col("row").alias("at"), "component")
-    sized = found.join(keyed.select(F.col(row).alias("at"), F.col(id_col).cast("long").alias("own")), "at")
-    winners = sized.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("n"), "own", "at")).alias("w"))
+    near = near_duplicates(keyed, row, text_col, shingle, distance).where("id <> component")
+    told = near.select(F.col("component").alias("a"), F.col("id").alias("b"))
+    found = sigtree.jaccard_components(keyed, row, text_col, shingle, similar, told)
+    group = F.when(F.col("n_shingles") == 0, F.lit(-1)).otherwise(F.col("component"))
+    sized = found.select(F.col("id").alias("at"), group.alias("group"))
+    sized = sized.join(keyed.select(F.col(row).alias("at"), F.col(id_col).cast("long").alias("own")), "at")
+    winners = sized.groupBy("group").agg(F.min(F.struct(F.col("own").isNull().alias("n"), "own", "at")).alias("w"))
     return keyed.join(winners.select(F.col("w.at").alias(row)), row, "left_semi").select(*docs.columns)
