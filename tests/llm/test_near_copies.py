@@ -1,9 +1,11 @@
-"""Near-copies of the pipeline against exact similarity over all pairs."""
+"""Signature trees and the pipeline's near-copies against exact similarity over all pairs."""
 
 import itertools
 import random
 
-from tallyflow.llm import nearcopies, simhash
+import numpy as np
+
+from tallyflow.llm import sigtree, simhash
 
 
 def shingles(text):
@@ -51,24 +53,71 @@ def test_near_copies_at_the_bound_are_all_found(spark):
         texts.append(" ".join(now))
     want = roots_of(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.row: r.component for r in nearcopies.near_copies(docs, "doc_id").collect()}
+    got = {r.id: r.component for r in sigtree.jaccard_components(docs).collect()}
     assert [got[i] for i in range(len(texts))] == want
     kept = {r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()}
     assert kept == set(want)
-    # The 256-bit fingerprints missed some of these.
-    missed = 0
-    for i in range(0, 240, 2):
-        pair = [simhash.fingerprint_words(t, words=4) for t in texts[i : i + 2]]
-        apart = [(a ^ b).bit_count() for a, b in zip(*pair)]
-        missed += want[i + 1] == i and not (sum(apart) <= 40 and min(apart) <= 4)
-    assert missed > 5
+    # Fingerprints alone miss some of these.
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert sum(want[i + 1] == i and (prints[i] ^ prints[i + 1]).bit_count() > 4 for i in range(0, 240, 2)) > 5
+
+
+def components(spark, texts, **params):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component for r in sigtree.jaccard_components(docs, **params).collect()}
+    return [got[i] for i in range(len(texts))]
 
 
-def test_frequent_shingles_come_last_and_nothing_is_lost(spark, monkeypatch):
-    monkeypatch.setattr(nearcopies, "FREQUENT", 2)
+def test_a_line_that_many_texts_share(spark):
     rng = random.Random(12)
     line = "one two three four five six seven eight nine ten eleven twelve"
     texts = [f"{line} {t}" for t in near_texts(rng, 80)]
+    assert components(spark, texts) == roots_of(texts)
+
+
+def test_small_trees_and_blocks_lose_nothing(spark, monkeypatch):
+    """Every group is cut into many trees, leaves and parts, and no least hash links anything."""
+    rng = random.Random(13)
+    texts = near_texts(rng, 60)
+    base = near_texts(rng, 1)[0].split()
+    texts += [" ".join(f"c{i}x{j}" if rng.random() < 0.02 else w for j, w in enumerate(base)) for i in range(40)]
+    want = roots_of(texts)
+    monkeypatch.setattr(sigtree, "LARGEST", 5)
+    monkeypatch.setattr(sigtree, "LEAF", 3)
+    monkeypatch.setattr(sigtree, "WHOLE", 4)
+    assert components(spark, texts) == want
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.row: r.component for r in nearcopies.near_copies(docs, "doc_id").collect()}
-    assert [got[i] for i in range(len(texts))] == roots_of(texts)
+    monkeypatch.setattr(sigtree, "_close_links", lambda prints, nodes, job: prints.selectExpr("node as a", "node as b").limit(0))
+    got = {r.id: r.component for r in sigtree.jaccard_components(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    told = spark.createDataFrame([(i, j) for i, j in itertools.combinations(range(12), 2)] + [(0, 999)], "a long, b long")
+    got = {r.id: r.component for r in sigtree.jaccard_components(docs, told=told).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_descent_finds_every_pair_and_leaves_pairs_out():
+    rng = random.Random(14)
+    sets = [np.array(sorted(rng.sample(range(10**15), rng.randrange(1, 60))), np.uint64) for _ in range(150)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], s[:1]])) for s in sets]
+    sets.sort(key=len)
+    want = {(i, j) for i, j in itertools.combinations(range(300), 2) if sigtree.similar_sets(sets[i], sets[j], 80)}
+    nodes = sigtree.nodes_of(sets)
+    looked = [p for i, j in sigtree.descend(nodes, None, 80) for p in zip(i.tolist(), j.tolist())]
+    assert want <= set(looked) and len(looked) == len(set(looked)) < 3000 < 300 * 299 / 2
+    left, right = (sigtree.Nodes(*[c[part] for c in nodes]) for part in (slice(0, 120), slice(120, 300)))
+    both = {(i, 120 + j) for a, b in sigtree.descend(left, right, 80) for i, j in zip(a.tolist(), b.tolist())}
+    assert {(i, j) for i, j in want if i < 120 <= j} <= both
+    # Bitmaps of two widths: the narrow one is repeated.
+    x, y = sets[-1], sets[-1][:-2]
+    wide = [sigtree.bitmap(x, 256), sigtree.bitmap(y, 128)]
+    pair = sigtree.Nodes(np.array([len(x), len(y)]), np.array([len(x), len(y)]), np.array([w[1] for w in wide]), sigtree.widened([w[0] for w in wide], 4))
+    assert sigtree.can_link(pair, pair, np.array([0]), np.array([1]), 80)[0]
+
+
+def test_odd_rows_of_the_similarity_join(spark):
+    rows = [(5, None), (6, ""), (7, " \t\n"), (8, "Two words"), (9, "two\tWORDS"), (8, "two words"), (None, "TWO words"), (None, "no id"), (10, "word " * 50_000)]
+    docs = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id long, text string, row long, component long, hashes string")
+    got = sorted(((r.id, r.n_shingles, r.component) for r in sigtree.jaccard_components(docs).collect()), key=str)
+    want = [(5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 1, 8), (8, 1, 8), (9, 1, 8), (10, 1, 10), (None, 1, 8), (None, 1, None)]
+    assert got == sorted(want, key=str)
+    assert sigtree.jaccard_components(docs.limit(0)).count() == 0
