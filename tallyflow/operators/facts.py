@@ -150,6 +150,18 @@ def order_wide(changes: Changes, dictionary: DataFrame, database: str | None = N
     )
 
 
+def _parts(rows: DataFrame, kind: str, key: str, payload: list[Column], line: str | None = None, version: list[str] = ()) -> DataFrame:
+    """Changes as parts of an order's state; the row's columns go as one JSON text, so all kinds share one stream."""
+    return rows.select(
+        P.new(key).alias("order_id"),
+        F.lit(kind).alias("kind"),
+        (P.new(line) if line else F.lit(None).cast("string")).alias("line"),
+        F.concat_ws("\u0000", *[F.coalesce(P.new(c), F.lit("")) for c in version]).alias("version"),
+        F.to_json(F.struct(*payload)).alias("payload"),
+        _change_time().alias("at"),
+    ).where("order_id is not null and at is not null")
+
+
 def stream_order_wide(
     changes: Changes,
     dictionary: DataFrame,
@@ -158,32 +170,42 @@ def stream_order_wide(
     order_within: str = "5 seconds",
     delay: str = "2 seconds",
 ) -> DataFrame:
-    """The same rows for streams, joined within bounds of the changes' times.
+    """The same rows for streams: lines, extras and order versions meet in one keyed state, within bounds of the changes' times.
 
-    A line waits `extras_within` for its activity and coupon and `order_within`
-    for its order; then its state goes.  A replayed change repeats rows, so the
-    sink keeps the newest row per line (`sinks.upsert_writer`).
+    A line takes the newest activity and coupon within `extras_within` of its own
+    change and every order version within `order_within`; then its state goes
+    (see `streaming.keyed.OrderLines`).  A join of four streams would chain two
+    outer joins, whose watermarks hold rows back for good.  A replayed change
+    repeats rows, so the sink keeps the newest row per line (`sinks.upsert_writer`).
     """
-    lines = changes_of(changes, "order_detail", "insert", database=database).select(
-        *fields(*schemas.ORDER_DETAIL_KEYS), _change_time().alias("_line_ts")
-    )
-    wide = with_dictionary(
-        lines.withColumnRenamed("source_type", "source_type_id"), dictionary, "source_type_id", "source_type_name"
-    )
-    for table, columns in (("order_detail_activity", _ACTIVITY), ("order_detail_coupon", _COUPON)):
-        extra = changes_of(changes, table, "insert", database=database).select(
-            *fields(_line="order_detail_id", **columns), _change_time().alias("_extra_ts")
-        )
-        same = F.expr("id = _line")
-        wide = stream_join(wide, extra, same, "_line_ts", "_extra_ts", extras_within, extras_within, "left_outer", delay)
-        wide = wide.drop("_line", "_extra_ts")
+    from ..streaming import keyed as K
+
     order_keys = [k for k in schemas.ORDER_INFO_KEYS if k not in ("id", "create_time")]
-    orders = changes_of(changes, "order_info", "insert", "update", database=database).select(
-        *fields(*order_keys, _order="id"), "type", "old", _change_time().alias("_order_ts")
+    lines = changes_of(changes, "order_detail", "insert", database=database)
+    orders = changes_of(changes, "order_info", "insert", "update", database=database)
+    parts = _parts(lines, K.LINE, "order_id", fields(*schemas.ORDER_DETAIL_KEYS), "id")
+    parts = parts.unionByName(_parts(orders, K.ORDER, "id", [*fields(*order_keys), F.col("type"), F.col("old")]))
+    for table, kind, columns in (("order_detail_activity", K.ACTIVITY, _ACTIVITY), ("order_detail_coupon", K.COUPON, _COUPON)):
+        extra = changes_of(changes, table, "insert", database=database)
+        newest = ["create_time", *columns.values()]
+        parts = parts.unionByName(_parts(extra, kind, "order_id", fields(**columns), "order_detail_id", newest))
+    joined = K.order_lines(parts, extras_within, order_within, delay)
+
+    def texts(names) -> str:
+        return ", ".join(f"{n} string" for n in names)
+
+    old = "old map<string, string>"
+    rows = joined.select(
+        "line_ms",
+        "order_ms",
+        F.from_json("line", texts(schemas.ORDER_DETAIL_KEYS)).alias("l"),
+        F.from_json("activity", texts(_ACTIVITY)).alias("a"),
+        F.from_json("coupon", texts(_COUPON)).alias("c"),
+        F.from_json("order", f"{texts([*order_keys, 'type'])}, {old}").alias("o"),
     )
-    same = F.expr("order_id = _order")
-    rows = stream_join(wide, orders, same, "_line_ts", "_order_ts", order_within, order_within, "inner", delay)
-    return rows.withColumn("row_op_ts", F.greatest("_line_ts", "_order_ts")).select(*schemas.ORDER_WIDE)
+    rows = rows.select("l.*", "a.*", "c.*", "o.*", F.timestamp_millis(F.greatest("line_ms", "order_ms")).alias("row_op_ts"))
+    rows = rows.withColumnRenamed("source_type", "source_type_id")
+    return with_dictionary(rows, dictionary, "source_type_id", "source_type_name").select(*schemas.ORDER_WIDE)
 
 
 def order_details(wide: DataFrame) -> DataFrame:

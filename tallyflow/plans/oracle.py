@@ -668,3 +668,49 @@ _traffic(
       union all select 'action' from (select unnest(range(n_actions)) from good where start is null))
     group by target""",
 )
+
+# --- order streams: changes told around the bounds ----------------------------
+_TOLD = f"""
+{_TRADE},
+sl as materialized (
+  select *, row_number() over () as rid, 1704067200 + (l_orderkey * 37) % 259200 + l_linenumber as told from l),
+so as (
+  select *, 1704067200 + (k * 37) % 259200
+    + case when type = 'insert' then 0 when order_status = '1006' then 62 + k % 5 else 2 + k % 5 end as told
+  from (select *, cast(order_id as bigint) as k from oi)),
+sa as (
+  select a.rid, cast(b.l_partkey % 10 as varchar) as activity_id, cast(b.l_partkey % 4 as varchar) as activity_rule_id
+  from sl a join sl b on a.id = b.id and b.l_discount > 0.05 and abs(b.told + b.l_partkey % 8 - a.told) <= 5
+  qualify row_number() over (partition by a.rid order by b.made desc, cast(b.l_partkey % 10 as varchar) desc,
+    cast(b.l_partkey % 4 as varchar) desc) = 1),
+sc as (
+  select a.rid, cast(b.l_suppkey % 8 as varchar) as coupon_id
+  from sl a join sl b on a.id = b.id and b.l_tax > 0.04 and abs(b.told - b.l_suppkey % 8 - a.told) <= 5
+  qualify row_number() over (partition by a.rid order by b.made desc, cast(b.l_suppkey % 8 as varchar) desc,
+    cast(b.l_suppkey as varchar) desc) = 1),
+swide as (
+  select l.id, l.order_id, so.user_id, l.sku_id, 'sku ' || l.sku_id as sku_name, l.sku_num, l.price as order_price,
+    so.province_id, activity_id, activity_rule_id, coupon_id, {_t('l.made')} as create_time, cast(l_suppkey as varchar) as source_id,
+    cast(1 + l_partkey % 5 as varchar) as source_type_id, dic_name as source_type_name,
+    case when l_discount > 0.05 then cast(cast(round(l_discount * 100) as int) as varchar) end as split_activity_amount,
+    case when l_tax > 0.04 then cast(cast(round(l_tax * 100) as int) as varchar) end as split_coupon_amount,
+    l.price as split_total_amount, greatest(l.told, so.told) as changed, type, order_status, operate_time,
+    {_t('timestamp \'1970-01-01\' + to_seconds(greatest(l.told, so.told))')} as row_op_ts
+  from sl l join dic on cast(1 + l_partkey % 5 as varchar) = dic_code
+    join so on l.order_id = so.order_id and abs(so.told - l.told) <= 5
+    left join sa on l.rid = sa.rid left join sc on l.rid = sc.rid)
+"""
+ORACLE["stream_order_detail"] = f"with {_TOLD} select * exclude (changed, type, order_status, operate_time) from swide where type = 'insert'"
+ORACLE["stream_order_cancel"] = f"""with {_TOLD}
+  select * exclude (changed, type, order_status, operate_time, create_time, activity_rule_id, row_op_ts),
+    activity_rule_id, operate_time as cancel_time
+  from swide where type = 'update' and order_status = '1003'"""
+ORACLE["stream_pay_detail"] = f"""with {_TOLD}
+  select s.id as order_detail_id, s.order_id, s.user_id, sku_id, sku_name, s.province_id, activity_id, activity_rule_id, coupon_id,
+    cast(1 + o_orderkey % 5 as varchar) as payment_type_code, p.dic_name as payment_type_name, {_t('later')} as callback_time,
+    source_id, source_type_id, source_type_name, sku_num, order_price, split_activity_amount, split_coupon_amount,
+    split_total_amount as split_payment_amount, row_op_ts
+  from swide s join o on s.order_id = o.order_id and o_orderstatus = 'O' and o_orderkey % 9 <> 0
+    and abs(1704067200 + (o_orderkey * 37) % 259200 + 895 + o_orderkey % 16 - changed) <= 905
+  join dic p on cast(1 + o_orderkey % 5 as varchar) = p.dic_code
+  where type = 'insert'"""

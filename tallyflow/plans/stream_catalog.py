@@ -265,12 +265,16 @@ def _without_closing(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(~F.col(key).isin([k for turn in range(_CLOSING_ROUNDS) for k in _closing_keys(spark, turn)]))
 
 
-def _change_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table's changes as text in order of time, several micro-batches of files, and closing records."""
+def _change_stream(spark: SparkSession, sf_dir: str, name: str, when: str = "ts", slices: list[str] = _SLICES) -> DataFrame:
+    """A table's changes as text in order of time, several micro-batches of files, and closing records.
+
+    `when` is the second a change is told to have happened at.
+    """
     spark.conf.set(*STATE_PROVIDER)
     folder, parts = work_folder(spark, f"changes-{name}"), spark.sparkContext.defaultParallelism
-    for rule in _SLICES:
-        rows = A.changes(spark, sf_dir, name).where(rule).select(F.to_json(F.struct(*schemas.CHANGE.names)).alias("value"))
+    told = A.changes(spark, sf_dir, name).withColumn("ts", F.expr(when).cast("string"))
+    for rule in slices:
+        rows = told.where(rule).select(F.to_json(F.struct(*schemas.CHANGE.names)).alias("value"))
         rows.repartition(parts).write.mode("append").text(folder)
     for turn in range(_CLOSING_ROUNDS):
         # One record in each of as many files as a micro-batch takes, so that rounds do not share one.
@@ -305,4 +309,55 @@ def stream_refund_paid(spark, sf_dir):
     return _shown(_upserted(spark, rows, "refund-paid", ["id", "_request"], ["row_op_ts"]).drop("_request"))
 
 
+# --- order lines -------------------------------------------------------------
+_KEY = "cast(coalesce(data['order_id'], data['id']) as bigint)"
+_OPENED = f"1704067200 + ({_KEY} * 37) % 259200"
+_NUMBER = "cast(substring_index(coalesce(data['order_detail_id'], data['id']), '-', -1) as int)"
+#: Seconds at which an order's changes are told, around the bounds of 5 and 905 seconds: some fall inside, some outside.
+_TOLD = {
+    "order_info": f"{_OPENED} + case when type = 'insert' then 0 when data['order_status'] = '1006' then 62 + {_KEY} % 5 else 2 + {_KEY} % 5 end",
+    "order_detail": f"{_OPENED} + {_NUMBER}",
+    "order_detail_activity": f"{_OPENED} + {_NUMBER} + cast(data['sku_id'] as bigint) % 8",
+    "order_detail_coupon": f"{_OPENED} + {_NUMBER} - cast(data['coupon_use_id'] as bigint) % 8",
+    "payment_info": f"{_OPENED} + 895 + {_KEY} % 16",
+}
+#: One day each; orders that open at midnight are cut through, so that their state lives over a micro-batch.
+_DAYS = ["ts < '1704153600'", "ts >= '1704153600' and ts < '1704240000'", "ts >= '1704240000'"]
+
+
+def _order_feeds(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    return {t: _change_stream(spark, sf_dir, t, _TOLD[t], _DAYS) for t in tables}
+
+
+def _wide_lines(spark: SparkSession, sf_dir: str, name: str, shape) -> DataFrame:
+    """Order lines from four feeds through the keyed state, as `shape` makes facts of them, appended batch by batch."""
+    feeds = _order_feeds(spark, sf_dir, "order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+    facts = shape(X.stream_order_wide(feeds, A.dictionary(spark, sf_dir)))
+    return _without_closing(_drain(spark, facts, name), "order_id")
+
+
+@query
+def stream_order_detail(spark, sf_dir):
+    """Order lines with activity, coupon and order from four streams, within five seconds."""
+    return _shown(_wide_lines(spark, sf_dir, "order-detail", X.order_details))
+
+
+@query
+def stream_order_cancel(spark, sf_dir):
+    return _wide_lines(spark, sf_dir, "order-cancel", X.cancelled_details)
+
+
+@query
+def stream_pay_detail(spark, sf_dir):
+    """Payments met with the lines that the first stream has written, within 905 seconds, in either order of arrival."""
+    details = _wide_lines(spark, sf_dir, "paid-lines", X.order_details)
+    folder, parts = work_folder(spark, "paid-lines-told"), spark.sparkContext.defaultParallelism
+    for hour in ("row_op_ts < '2024-01-02'", "row_op_ts >= '2024-01-02' and row_op_ts < '2024-01-03'", "row_op_ts >= '2024-01-03'"):
+        details.where(hour).repartition(parts).write.mode("append").parquet(folder)
+    lines = S.table_stream(spark, folder, details.schema, files_per_batch=parts)
+    feeds = _order_feeds(spark, sf_dir, "payment_info")
+    rows = X.stream_paid_details(feeds, lines, A.dictionary(spark, sf_dir))
+    return _shown(_drain(spark, rows, "pay-detail").select(*schemas.PAY_DETAIL))
+
+
 __all__ = ["QUERIES"]

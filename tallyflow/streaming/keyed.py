@@ -237,3 +237,82 @@ def last_wins(df: DataFrame, key: str, version: str, ts: str, hold: str = "5 sec
 def first_wins(df: DataFrame, key: str, ts: str, ttl: str = "5 seconds") -> DataFrame:
     """First-wins de-dup; Spark's own operator, the delay being the memory."""
     return watermarked(df, ts, ttl).dropDuplicatesWithinWatermark([key])
+
+
+#: What an order's state holds.
+LINE, ACTIVITY, COUPON, ORDER = "line", "activity", "coupon", "order"
+_PART = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("kind", "line", "version", "payload")] + [T.StructField("ms", T.LongType())]
+)
+_JOINED = "order_id string, line string, line_ms long, activity string, coupon string, order string, order_ms long"
+
+
+class OrderLines(_Base):
+    """Order lines with their activity, coupon and all versions of their order, in whatever order these arrive.
+
+    A line is given out once, when time has passed all that may belong to it and
+    to what came with it in one micro-batch, with the newest activity and coupon
+    and every order version inside the bounds.  A part is kept as long as a line
+    that it may belong to can wait, so an order's state is gone after twice the
+    longer bound from its last part on.
+    """
+
+    def __init__(self, extras_ms: int, order_ms: int):
+        self.extras, self.order = extras_ms, order_ms
+        self.wait = max(extras_ms, order_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", T.StructType([T.StructField("parts", T.ArrayType(_PART))]))
+
+    def _until(self, kind: str, ms: int) -> int:
+        return ms + self.wait * (1 if kind == LINE else 2)
+
+    def _parts(self) -> list[tuple]:
+        held = self.held.get()
+        return [tuple(p) for p in held[0]] if held else []
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts, last = self._parts(), 0
+        for chunk in rows:
+            texts = chunk[["kind", "line", "version", "payload"]].astype(object)
+            texts = texts.where(texts.notna(), None)
+            new = [(*row, int(ms)) for row, ms in zip(texts.itertuples(index=False, name=None), chunk[_MS])]
+            last = max([last, *(self._until(p[0], p[4]) for p in new)])
+            parts += new
+        # One timer for all that came together: state calls are what a stream of many small orders costs.
+        self.handle.registerTimer(last)
+        self.held.update((parts,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, parts = expiredTimerInfo.getExpiryTimeInMs(), self._parts()
+        out = []
+        for _, line, _, payload, ms in [p for p in parts if p[0] == LINE and self._until(LINE, p[4]) <= now]:
+            newest = [
+                max((p for p in parts if p[0] == kind and p[1] == line and abs(p[4] - ms) <= self.extras), key=lambda p: p[2], default=None)
+                for kind in (ACTIVITY, COUPON)
+            ]
+            extras = [p and p[3] for p in newest]
+            out += [(key[0], payload, ms, *extras, p[3], p[4]) for p in parts if p[0] == ORDER and abs(p[4] - ms) <= self.order]
+        left = [p for p in parts if self._until(p[0], p[4]) > now]
+        if left:
+            self.held.update((left,))
+        else:
+            self.held.clear()
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+
+def order_lines(parts: DataFrame, extras_within: str, order_within: str, delay: str = "2 seconds") -> DataFrame:
+    """Joined payloads of a stream of parts: `order_id`, `kind`, `line`, `version`, `payload`, `at`.
+
+    Lines that no version of their order meets inside the bound are given up.
+    """
+    timed = watermarked(parts.withColumn(_MS, F.unix_millis("at")), "at", delay)
+    processor = OrderLines(seconds(extras_within) * 1000, seconds(order_within) * 1000)
+    schema = T.StructType.fromDDL(_JOINED)
+    processor.columns = schema.names
+    return timed.groupBy("order_id").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    )

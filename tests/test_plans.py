@@ -36,7 +36,7 @@ def test_unused_columns_and_tables_are_not_read(spark, sf_dir):
 @pytest.mark.parametrize(
     "name, unused",
     [
-        ("win_order", ["o_totalprice", "o_orderpriority", "l_suppkey", "l_quantity"]),
+        ("win_order", ["o_totalprice", "o_orderpriority", "l_suppkey"]),
         ("win_user_spu", ["o_totalprice", "o_orderpriority", "l_suppkey"]),
         ("win_province", ["o_orderpriority", "l_suppkey", "l_tax", "l_discount"]),
         ("win_cart_uu", ["value"]),
