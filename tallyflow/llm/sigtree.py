@@ -455,7 +455,10 @@ def _told_links(told: DataFrame, prints: DataFrame, nodes: DataFrame, job: Job)
     ids = prints.where("n > 0").select("id", "node")
     pairs = told.join(ids.toDF("a", "x"), "a").join(ids.toDF("b", "y"), "b").where("x <> y").select("x", "y").distinct()
     pairs = common.stored(pairs, "told")
-    texts = common.stored(nodes.select("row", "node").join(job.texts, "row").select("node", "text"), "node-texts")
+    # Only texts that a pair holds move.
+    held = pairs.selectExpr("explode(array(x, y)) as node").distinct()
+    held = common.stored(nodes.select("row", "node").join(held, "node", "left_semi"), "held")
+    texts = common.stored(held.join(job.texts, "row").select("node", "text"), "node-texts")
     both = pairs.join(texts.toDF("x", "tx"), "x").join(texts.toDF("y", "ty"), "y").select("x", "y", "tx", "ty").sortWithinPartitions("x")
     return common.stored(both.mapInArrow(partial(_similar_texts, shingle=job.shingle, similar=job.similar), "a long, b long"), "told-links")
 
@@ -514,8 +517,9 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("own").alias("ys")), "b")
     near = both.select("ca", "cb", "xs", "ys").mapInArrow(partial(_near_sets, similar=job.similar), "ca long, cb long, x long, y long")
     near = common.stored(near, "near")
-    whole = near.join(sets.select(F.col("row").alias("x"), F.col("hashes").alias("xs")), "x")
-    whole = whole.join(sets.select(F.col("row").alias("y"), F.col("hashes").alias("ys")), "y").select("ca", "cb", "xs", "ys")
+    asked = common.stored(near.selectExpr("explode(array(x, y)) as row").distinct(), "asked")
+    sets = sets.join(asked, "row", "left_semi").select("row", "hashes")
+    whole = near.join(sets.toDF("x", "xs"), "x").join(sets.toDF("y", "ys"), "y").select("ca", "cb", "xs", "ys")
     return common.stored(whole.mapInArrow(partial(_verified, similar=job.similar), "a long, b long").distinct(), "far")
 
 
