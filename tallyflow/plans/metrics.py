@@ -27,6 +27,13 @@ def _openers(df: DataFrame, key: str, day: str, ts: str, order: list) -> DataFra
     return K.day_changes(df, key, day, order)
 
 
+def _day_firsts(df: DataFrame, key: str, day: str, ts: str, order: list) -> DataFrame:
+    """First row per key and day; the stream's state goes with the day."""
+    if df.isStreaming:
+        return S.day_firsts(df, key, day, ts)
+    return K.day_firsts(df, key, day, order)
+
+
 def _flag(rule: Column) -> Column:
     return F.when(rule, 1).otherwise(0).cast("bigint")
 
@@ -57,7 +64,7 @@ def cart_add_uu(carts: DataFrame, length: str = WINDOW) -> DataFrame:
     rows = carts.select(
         "user_id", "id", leading_day(text).alias("day"), parse_stamp(text).alias("rt")
     )
-    users = _openers(rows, "user_id", "day", "rt", ["rt", "id"])
+    users = _day_firsts(rows, "user_id", "day", "rt", ["rt", "id"])
     return window_sums(users, "rt", {"cart_add_uu_ct": _one()}, length=length)
 
 
@@ -212,7 +219,7 @@ def page_view(pages: DataFrame, length: str = WINDOW) -> DataFrame:
         at("ts").alias("rt"),
         day_text(at("ts")).alias("day"),
     )
-    visits = _openers(rows, "visitor", "day", "rt", ["ts"])
+    visits = _day_firsts(rows, "visitor", "day", "rt", ["ts"])
     sums = {
         "home_uv_ct": _flag(F.col("page_id") == "home"),
         "good_detail_uv_ct": _flag(F.col("page_id") == "good_detail"),
@@ -235,7 +242,7 @@ def unique_visitors(pages: DataFrame) -> DataFrame:
     day = day_text(at("ts"))
     if entries.isStreaming:
         timed = entries.select("*", F.col("common.mid").alias("visitor"), day.alias("day"), at("ts").alias("rt"))
-        return S.day_openers(timed, "visitor", "day", "rt").select(*pages.columns)
+        return S.day_firsts(timed, "visitor", "day", "rt").select(*pages.columns)
     return K.day_firsts(entries, "common.mid", day, ["ts"])
 
 

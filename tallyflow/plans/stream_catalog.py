@@ -97,7 +97,7 @@ def stream_window(spark, sf_dir):
 @query
 def stream_daily_unique(spark, sf_dir):
     entries = _flat(_pages(spark, sf_dir)).where("entry")
-    out = _drain(spark, K.day_openers(entries, "mid", "day", "rt"), "daily-unique")
+    out = _drain(spark, K.day_firsts(entries, "mid", "day", "rt"), "daily-unique")
     return out.where(f"event_id <> {_END_ID}").select("event_id", "mid")
 
 

@@ -99,6 +99,62 @@ def day_openers(df: DataFrame, key: str, day: str, ts: str, delay: str = "2 seco
     return _run(df, key, DayOpeners(day), "is_first boolean, days_away int", ts, delay)
 
 
+class DayFirsts(_Base):
+    """First row of each day of a key, with state that time takes away.
+
+    State is the list of the key's open days.  A day is open until the watermark
+    passes its end: later rows of it are dropped as late before they get here,
+    so nothing can ask for the day again.  A timer at the day's end removes it,
+    and a key without open days has no state.
+    """
+
+    def __init__(self, day: str, zone: str):
+        self.day, self.zone = day, zone
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", _state("days", T.ArrayType(T.StringType())))
+
+    def _end(self, day: str) -> int:
+        """The first millisecond after the day; a day of a zone may have 23 or 25 hours."""
+        return int((pd.Timestamp(day) + pd.Timedelta(days=1)).tz_localize(self.zone, nonexistent="shift_forward", ambiguous=True).timestamp() * 1000)
+
+    def _days(self) -> list[str]:
+        return list(self.open.get()[0]) if self.open.exists() else []
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best: pd.DataFrame | None = None
+        seen = self._days()
+        for chunk in rows:
+            new = chunk[chunk[self.day].notna() & ~chunk[self.day].isin(seen)]
+            pool = new if best is None else pd.concat([best, new])
+            best = pool.sort_values(_MS, kind="stable").drop_duplicates(self.day)
+        if best is not None and len(best):
+            for day in best[self.day]:
+                self.handle.registerTimer(self._end(day))
+            self.open.update((seen + list(best[self.day]),))
+            yield self._out(best)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        left = [day for day in self._days() if self._end(day) > now]
+        if left:
+            self.open.update((left,))
+        else:
+            self.open.clear()
+        return iter(())
+
+
+def day_firsts(df: DataFrame, key: str, day: str, ts: str, delay: str = "2 seconds") -> DataFrame:
+    """Stream form of `operators.keyed.day_firsts`; `day` is the day of `ts` in the session's zone.
+
+    State of a day is gone once the watermark is past its end.  Rows without a
+    day are dropped.  What needs the days before, use `day_openers`.
+    """
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return _run(df, key, DayFirsts(day, zone), "", ts, delay)
+
+
 class NewFlagRepair(_Base):
     """First-visit day of a visitor; written once and kept."""
 
