@@ -27,30 +27,43 @@ def split_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     return df.withColumn(word, F.explode(words(text)))
 
 
-def dictionary_words(df: DataFrame, text: str, lexicon: DataFrame, key: str, word: str = "word") -> DataFrame:
-    """Fine-grained segmentation: every lexicon word found anywhere in the text.
+def _spans(runs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """`_id`, `word` of all lexicon words in the runs (`_id`, `_part`), and of the characters that none covers."""
+    known = lexicon.select(F.lower(F.col("word")).alias("word")).where(F.length("word") > 0).distinct()
+    longest = known.agg(F.max(F.length("word"))).first()[0] or 1
+    # A start carries only as much text as a word can have, not its whole run.
+    heads = F.transform(
+        F.sequence(F.lit(1), F.length("_part")),
+        lambda i: F.struct(i.alias("at"), F.substr("_part", i, F.lit(longest)).alias("head")),
+    )
+    starts = runs.select("_id", F.explode(heads).alias("s")).select("_id", "s.at", "s.head")
+    # The first two characters tell which lengths can be a word at all; a prefix has few lengths, however many words.
+    prefixes = known.groupBy(F.substring("word", 1, 2).alias("prefix")).agg(F.collect_set(F.length("word")).alias("lengths"))
+    one, two = F.substring("head", 1, 1), F.substring("head", 1, 2)
+    opened = starts.withColumn("prefix", F.explode(F.when(F.length("head") > 1, F.array(one, two)).otherwise(F.array(one))))
+    fitting = F.filter("lengths", lambda n: n <= F.length("head"))
+    tried = opened.join(prefixes, "prefix").select("_id", "at", "head", F.explode(fitting).alias("len"))
+    found = tried.select("_id", "at", F.substr("head", F.lit(1), F.col("len")).alias("word")).join(known, "word")
+    covered = found.select("_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.length("word") - 1)).alias("at"))
+    alone = starts.join(covered.distinct(), ["_id", "at"], "left_anti").select("_id", one.alias("word"))
+    return found.select("_id", "word").unionByName(alone)
+
 
-    Substrings of the lengths that the ``lexicon(word)`` table has are joined to
-    it; runs of letters and digits pass whole, and Han characters no lexicon
-    word covers come out alone.  ``key`` identifies a row.
+def dictionary_words(df: DataFrame, text: str, lexicon: DataFrame, word: str = "word", script: str = r"\p{IsHan}") -> DataFrame:
+    """Fine-grained segmentation: one row per lexicon word at each place of the text; other columns are repeated.
+
+    Runs that open with a character of `script` are cut by the `lexicon(word)`
+    table: all its words come out wherever they stand, overlapping ones too, and
+    characters that no word covers come out alone.  Other runs of letters and
+    digits pass whole.  Equal runs are cut once, however often they stand in
+    texts.  Null and empty texts give no rows; an empty lexicon cuts runs into
+    characters.
     """
     runs = F.regexp_extract_all(F.lower(F.col(text)), F.lit(RUNS), F.lit(1))
-    parts = df.select("*", F.posexplode(runs).alias("_run", "_part"))
-    han = F.col("_part").rlike(r"^\p{IsHan}")
-    plain = parts.where(~han).withColumn(word, F.col("_part"))
-    chars = parts.where(han).withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_part"))))
-    known = lexicon.select(F.lower(F.col("word")).alias(word)).where(F.length(word) > 0).distinct()
-    # The lengths in use are a handful of numbers, whatever the lexicon.
-    lengths = sorted(r[0] for r in known.select(F.length(word)).distinct().collect())
-    reach = F.length("_part") - F.col("_at") + 1
-    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= reach)
-    spans = chars.withColumn("_len", F.explode(fitting)).withColumn(word, F.substr("_part", F.col("_at"), F.col("_len")))
-    found = spans.join(known, word, "inner")
-    covered = found.select(
-        key, "_run", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_len") - 1)).alias("_at")
-    ).distinct()
-    alone = chars.join(covered, [key, "_run", "_at"], "left_anti").withColumn(
-        word, F.substr("_part", F.col("_at"), F.lit(1))
-    )
+    parts = df.select("*", F.explode(runs).alias("_part"))
+    cut = F.col("_part").rlike(f"^{script}")
     out = [*df.columns, word]
-    return plain.select(*out).unionByName(found.select(*out)).unionByName(alone.select(*out))
+    plain = parts.where(~cut).withColumn(word, F.col("_part"))
+    keyed = parts.where(cut).withColumn("_id", F.sha2("_part", 256))
+    spans = _spans(keyed.select("_id", "_part").distinct(), lexicon).withColumnRenamed("word", word)
+    return plain.select(*out).unionByName(keyed.drop("_part").join(spans, "_id").select(*out))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.timefmt import at, day_text, leading_day, parse_stamp, stamp_text
+from ..functions import tokens
 from ..functions.tokens import split_words
 from ..functions import predicates as P
 from ..operators import dims as D
@@ -376,6 +377,20 @@ def word_count(spark, sf_dir):
     return words
 
 
+@query
+def dictionary_words(spark, sf_dir):
+    """Words of a lexicon inside the words of all documents; the lexicon is what a fiftieth of the documents have."""
+    docs = A.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    spread = split_words(docs, "text").where(F.length("word").between(2, 12)).select("doc_id", "word").distinct()
+    common = spread.groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
+    total = docs.agg(F.count(F.lit(1)).alias("total"))
+    lexicon = common.join(total, F.col("docs") * 50 >= F.col("total")).select("word")
+    # Runs are cut one by one, so equal ones are counted before and not joined by a frequent key.
+    runs = word_count(spark, sf_dir).withColumnsRenamed({"word": "run", "n": "times"})
+    found = tokens.dictionary_words(runs, "run", lexicon, script=r"[\p{L}\p{N}]")
+    return found.groupBy("lang", "word").agg(F.sum("times").alias("n"))
+
+
 # --- window metrics --------------------------------------------------------
 @query
 def win_cart_uu(spark, sf_dir):

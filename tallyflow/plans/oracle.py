@@ -493,6 +493,25 @@ select lang, word, cast(count(*) as bigint) as n
 from (select lang, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) as word from documents) group by all
 """
 
+ORACLE["dictionary_words"] = """
+with runs as materialized (
+  select doc_id, lang, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) as run from documents),
+lexicon as materialized (
+  select run as word from (select distinct doc_id, run from runs where length(run) between 2 and 12)
+  group by run having count(*) * 50 >= (select count(*) from documents)),
+own as materialized (select run, unnest(range(1, length(run) + 1)) as a from (select distinct run from runs)),
+tried as (select run, a, unnest(range(2, 13)) as n from own),
+found as materialized (
+  select run, a, n, substr(run, a, n) as word from tried where a + n - 1 <= length(run) and substr(run, a, n) in (from lexicon)),
+covered as (select distinct run, unnest(range(a, a + n)) as a from found),
+cut as (
+  select run, word from found
+  union all select run, substr(run, a, 1) from own anti join covered using (run, a)),
+counted as (select lang, run, count(*) as times from runs group by all),
+per as (select run, word, count(*) as times from cut group by all)
+select lang, word, cast(sum(counted.times * per.times) as bigint) as n from counted join per using (run) group by all
+"""
+
 # --- window metrics --------------------------------------------------------
 for _name in (
     "win_cart_uu win_order win_payment win_payment_returning win_province win_refund win_user_spu win_page_uv "

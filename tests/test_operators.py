@@ -1,6 +1,8 @@
 """Parsing, changes, dimensions, joins, tokens and windows, with rows by hand."""
 
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,14 +243,32 @@ def test_words(spark):
 def test_dictionary_words(spark):
     df = spark.createDataFrame([(1, "实时数仓x")], "id int, t string")
     lexicon = spark.createDataFrame([("实时",), ("数仓",), ("实时数仓",)], "word string")
-    assert sorted(r["word"] for r in dictionary_words(df, "t", lexicon, "id").collect()) == sorted(
+    assert sorted(r["word"] for r in dictionary_words(df, "t", lexicon).collect()) == sorted(
         ["实时", "数仓", "实时数仓", "x"]
     )
     long = spark.createDataFrame([("实时数仓建设指南",)], "word string")
     df8 = spark.createDataFrame([(1, "看实时数仓建设指南")], "id int, t string")
-    assert sorted(r["word"] for r in dictionary_words(df8, "t", long, "id").collect()) == sorted(["看", "实时数仓建设指南"])
+    assert sorted(r["word"] for r in dictionary_words(df8, "t", long).collect()) == sorted(["看", "实时数仓建设指南"])
     few = spark.createDataFrame([("数仓",)], "word string")
-    assert sorted(r["word"] for r in dictionary_words(df, "t", few, "id").collect()) == sorted(["实", "时", "数仓", "x"])
+    assert sorted(r["word"] for r in dictionary_words(df, "t", few).collect()) == sorted(["实", "时", "数仓", "x"])
+
+
+def test_dictionary_words_equal_all_substrings(spark):
+    """Repeated rows, overlaps, one-letter words, empty texts and an empty lexicon."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab数仓 ") for _ in range(rng.randrange(40))) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (90, None), (91, ""), (92, " ")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    for known in (["a", "AB", "bab", "abab", "数仓", "仓数仓", ""], ["bb"], []):
+        lexicon = spark.createDataFrame([(w,) for w in known], "word string")
+        words_, want = {w.lower() for w in known} - {""}, []
+        for i, t in rows:
+            for run in re.findall("[数仓]+|[ab]+", t or ""):
+                spans = [(a, b) for a in range(len(run)) for b in range(a + 1, len(run) + 1) if run[a:b] in words_]
+                want += [(i, run[a:b]) for a, b in spans]
+                want += [(i, c) for n, c in enumerate(run) if not any(a <= n < b for a, b in spans)]
+        got = dictionary_words(df, "t", lexicon, script=r"[\p{L}]").select("id", "word").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
 
 
 # --- windows ---------------------------------------------------------------
