@@ -27,17 +27,16 @@ PHONE = (
     r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
     r"|(?:\([0-9]{3}\) ?|(?<![0-9-])(?:1-)?[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
 )
-SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
+#: Numbers that are given out: no area 000, 666 or from 900 on, no group 00, no serial 0000.
+SOCIAL = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
 #: Groups of four, or 4-6-5, or a plain run.
 CARD = (
     r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"
 )
-#: Numbers that are given out: no area 000, 666 or from 900 on, no group 00, no serial 0000.
-GIVEN_SOCIAL = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, ISO_DATE, DAY_FIRST, MONTH_FIRST, SOCIAL, PHONE, CARD, SECRET))
+_BEFORE_CARDS = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, ISO_DATE, DAY_FIRST, MONTH_FIRST, SOCIAL, PHONE))
 
 _FIRST_DAY, _DAYS = "1800-01-01", (27, 5411)  # 400 years of the calendar are 27 * 5411 days
 
@@ -123,15 +122,30 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(digits, weigh), F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def is_value(value: Column) -> Column:
-    """Whether what `ANY` found is a personal value: a card number's Luhn sum holds, a social security number can be given out."""
+def valid_card(value: Column) -> Column:
+    """Whether the Luhn sum of the digits holds."""
     digits = F.split(F.regexp_replace(value, "[^0-9]", ""), "").cast("array<long>")
-    luhn = _let(digits, lambda d: (luhn_sum(F.slice(d, F.lit(1), F.size(d) - 1)) + F.element_at(d, -1)) % 10 == 0)
-    return (
-        F.when(value.rlike(f"^(?:{SOCIAL})$"), value.rlike(GIVEN_SOCIAL))
-        .when(value.rlike(f"^(?:{CARD})$"), luhn)
-        .otherwise(F.lit(True))
-    )
+    return _let(digits, lambda d: (luhn_sum(F.slice(d, F.lit(1), F.size(d) - 1)) + F.element_at(d, -1)) % 10 == 0)
+
+
+def value_pattern(text: Column) -> Column:
+    """The pattern of all personal values of a text.
+
+    Whether a number is a card number no pattern can tell.  So everything that
+    looks like one is taken by look-ahead at every place where it may start, what
+    fails the Luhn sum is left out, and the others stand in the pattern as they
+    are.  A number that fails so cannot hide a valid one that starts inside it.
+    """
+    like = F.regexp_extract_all(text, F.lit(f"(?=({CARD}))"), F.lit(1))
+    cards = F.when(text.rlike(CARD), F.filter(F.array_distinct(like), valid_card)).otherwise(F.array().cast("array<string>"))
+
+    def build(found: Column) -> Column:
+        some = F.concat(
+            F.lit(f"{_BEFORE_CARDS}|(?:(?<![0-9A-Za-z])(?:"), F.array_join(found, "|"), F.lit(f")(?![0-9A-Za-z]))|(?:{SECRET})")
+        )
+        return F.when(F.size(found) == 0, F.lit(f"{_BEFORE_CARDS}|(?:{SECRET})")).otherwise(some)
+
+    return _let(cards, build)
 
 
 def _card(value: Column, key: str) -> Column:
@@ -172,7 +186,7 @@ def _date(value: Column, pattern: str, key: str) -> Column:
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one value found by `ANY`; what is no value by `is_value` stays."""
+    """The pseudonym of one value that `value_pattern` finds."""
     whole = lambda p: value.rlike(f"^(?:{p})$")
     email = F.concat(
         _characters(F.substring_index(value, "@", 1), _CLASSES, key, "email"), F.lit("@"), F.substring_index(value, "@", -1)
@@ -185,8 +199,7 @@ def pseudonym(value: Column, key: str) -> Column:
     rest = F.substring(value, F.length(plain) + 1, F.length(value))
     phone = F.concat(plain, _characters(rest, _CLASSES[:1], key, "phone"))
     return (
-        F.when(~is_value(value), value)
-        .when(value.contains("@"), email)
+        F.when(value.contains("@"), email)
         .when(whole(IPV4), ipv4)
         .when(whole(ISO_DATE) & value.contains("-"), _date(value, "yyyy-MM-dd", key))
         .when(whole(ISO_DATE), _date(value, "yyyy/MM/dd", key))
@@ -206,19 +219,25 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = "change-
     `count_col` adds the number of values found.  Emails keep their domain,
     phones their country code, numbers their Luhn validity, dates stay dates; a
     date that the calendar lacks stays.  Runs like card or social security
-    numbers that cannot be such stay and are not counted.  Null texts stay null, with count 0, and
+    numbers that cannot be such stay, are not counted, and hide no valid number
+    that starts inside them; of valid numbers that overlap, the first one counts.  Null texts stay null, with count 0, and
     empty ones empty.  Rows, also repeated ones, and all other columns stay.
     """
     text = F.col(text_col)
     # Most texts hold neither a digit nor an address, and are not looked at again.
     touched = text.rlike("[0-9@]|[0-9a-fA-F]{32}")
-    found = F.when(touched, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+
+    def look(pattern: Column) -> Column:
+        values = F.regexp_extract_all(text, pattern, F.lit(0))
+        return F.struct(values.alias("values"), F.when(F.size(values) > 0, F.split(text, pattern, -1)).alias("gaps"))
+
+    found = F.when(touched, _let(value_pattern(text), look)).otherwise(F.struct(none.alias("values"), none.alias("gaps")))
 
-    def rebuild(values: Column) -> Column:
-        gaps = F.split(text, ANY, -1)
+    def rebuild(values: Column, gaps: Column) -> Column:
         images = F.concat(F.transform(values, lambda v: pseudonym(v, key)), F.array(F.lit("")))
         return F.array_join(F.zip_with(gaps, images, lambda a, b: F.concat(a, b)), "")
 
-    image = F.when(touched, _let(found, lambda v: F.when(F.size(v) == 0, text).otherwise(rebuild(v)))).otherwise(text)
-    out = docs if count_col is None else docs.withColumn(count_col, F.when(touched, F.size(F.filter(found, is_value))).otherwise(F.lit(0)))
+    image = F.when(touched, _let(found, lambda f: F.when(F.size(f["values"]) == 0, text).otherwise(rebuild(f["values"], f["gaps"])))).otherwise(text)
+    out = docs if count_col is None else docs.withColumn(count_col, F.when(touched, F.size(found["values"])).otherwise(F.lit(0)))
     return out.withColumn(text_col, image)
