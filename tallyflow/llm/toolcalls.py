@@ -56,6 +56,13 @@ def _no_constant(text: str):
     raise ValueError(f"{text} is not JSON")
 
 
+def _finite(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError(f"{text} is beyond what canonical JSON can write")
+    return value
+
+
 def _parse(batches: Iterator) -> Iterator:
     import json
 
@@ -65,7 +72,7 @@ def _parse(batches: Iterator) -> Iterator:
         rows = []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             try:
-                value = json.loads(text or "{}", parse_constant=_no_constant)
+                value = json.loads(text or "{}", parse_constant=_no_constant, parse_float=_finite)
                 if not isinstance(value, dict):
                     raise ValueError("arguments are an object")
                 one = (key, canonical(value), [(k, json_type(v)) for k, v in value.items()], sorted(references(value)), False)
@@ -121,7 +128,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     tool`, `missing F`, `wrong type of F`, `unknown field F`, `unknown reference
     R` (also to a later turn), `circular reference`, `no result`.  References to
     calls of earlier turns hold by the order of turns; those inside a turn give
-    the levels.  An empty argument text is an empty object; a null conversation
+    the levels.  A number that no double holds (`1e999`) breaks its arguments.  An empty argument text is an empty object; a null conversation
     or id links nothing.  An empty table of calls gives no rows.
     """
     calls = common.stored(
