@@ -82,14 +82,20 @@ def _words_of(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["item", "words"])
 
 
+def whole(masks: Sequence[str], count: int) -> tuple[int, str]:
+    """Number and mask of the seed that is all words of an item too short for the masks."""
+    return len(masks) + count, "1" * count
+
+
 def _seeds_of(batches: Iterator, masks: Sequence[str]) -> Iterator:
     import numpy as np
     import pyarrow as pa
 
+    shortest = min(map(len, masks))
     for batch in batches:
         for item, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = np.frombuffer(raw, np.uint64)
-            for number, mask in enumerate(masks):
+            for number, mask in enumerate(masks) if len(words) >= shortest else [whole(masks, len(words))]:
                 found = seeds(words, mask, number)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([item] * len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(np.arange(len(found)))],
@@ -133,10 +139,11 @@ def seed_filter(seed_rows: DataFrame):
     return bits.tobytes()
 
 
-def _find(batches: Iterator, masks: Sequence[str], wanted) -> Iterator:
+def _find(batches: Iterator, masks: Sequence[str], short: Sequence[int], wanted) -> Iterator:
     import numpy as np
     import pyarrow as pa
 
+    looks = [*enumerate(masks), *(whole(masks, count) for count in short)]
     known = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(np.bool_)
     kind = pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int64())]))
     for batch in common.partial_rows(batches, 1000):
@@ -144,7 +151,7 @@ def _find(batches: Iterator, masks: Sequence[str], wanted) -> Iterator:
         for n, text in enumerate(batch.column(2).to_pylist()):
             words = word_hashes(text or "")
             hits: list[tuple[int, int]] = []
-            for number, mask in enumerate(masks):
+            for number, mask in looks:
                 found = seeds(words, mask, number)
                 one, two = slots(found)
                 near = np.flatnonzero(known[one])
@@ -224,8 +231,9 @@ def contaminated(
     A run needs windows of `window` words, or a whole item, with the share
     `similarity` equal; an item shorter than a window must match word by word.
     With the given masks no such window is missed.  Null and empty texts have no
-    words.  Items of fewer than six words cannot be told from chance and match
-    nothing.  Repeated rows or items give repeated rows; null
+    words.  An item too short for the masks (under six words) is one seed of all
+    its words; an item of one or two words so matches every text that has them.
+    Items without words match nothing.  Repeated rows or items give repeated rows; null
     ids stay null.  An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
@@ -236,6 +244,10 @@ def contaminated(
     table = common.stored(
         passages.select("_item", "words").mapInArrow(partial(_seeds_of, masks=masks), "item long, seed long, at long"), "seeds"
     )
+    # The lengths of items below the shortest mask, at most five numbers; without such items texts are not looked at for them.
+    length = F.octet_length("words") / 8
+    short = passages.where((length > 0) & (length < min(map(len, masks)))).select(length.cast("int").alias("n")).distinct()
+    short = sorted(row.n for row in short.collect())
     wanted = spark.sparkContext.broadcast(seed_filter(table))
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
@@ -243,7 +255,7 @@ def contaminated(
         F.col(text_col).cast("string").alias("text"),
     )
     flagged = rows.mapInArrow(
-        partial(_find, masks=masks, wanted=wanted),
+        partial(_find, masks=masks, short=short, wanted=wanted),
         "id long, text_key long, words binary, hits array<struct<seed:long,at:long>>",
     )
     flagged = common.stored(flagged.withColumn("_row", F.monotonically_increasing_id()), "hits")

@@ -278,9 +278,9 @@ def test_masks_find_every_window():
 
 def test_decontamination_equals_all_places(spark, odd_rows):
     rng = random.Random(8)
-    items = [(i, " ".join(words(rng, n))) for i, n in enumerate((40, 25, 13, 9, 6, 4))] + [(6, None), (7, ""), (None, "z " * 30)]
+    items = [(i, " ".join(words(rng, n))) for i, n in enumerate((40, 25, 13, 9, 6, 5, 4, 1))] + [(9, None), (10, ""), (None, "z " * 30)]
     rows = list(odd_rows)
-    for i, (_, text) in enumerate(items[:5]):
+    for i, (_, text) in enumerate(items[:8]):
         for swaps in range(4):
             own = text.split()
             for at in rng.sample(range(len(own)), min(swaps, len(own))):
@@ -293,15 +293,16 @@ def test_decontamination_equals_all_places(spark, odd_rows):
     for key, text in rows:
         own = decontam.word_hashes(text or "")
         for item, passage in items:
-            if item is None or key == 5:
+            # The long text holds the item of one word by chance.
+            if item is None or key == 5 and item != 7:
                 continue
             other = decontam.word_hashes(passage or "")
-            for shift in range(-len(other), len(own)) if len(other) >= 6 else ():
+            for shift in range(-len(other), len(own)) if len(other) else ():
                 for run in decontam.overlaps(own, other, shift, 13, 0.8):
                     want[(key, item, *run)] += 1
     assert got == want
     bad = {k[0] for k in got}
-    assert {1000, 1001, 1002, 1003, 1010, 1020, 1030, 1040} <= bad and not bad & {1, 2, 3, 5, 7, 1031, 1041}
+    assert {1000, 1001, 1002, 1003, 1010, 1020, 1030, 1040, 1050, 1060, 1070} <= bad and not bad & {1, 2, 3, 7, 1031, 1041, 1051}
     kept = decontam.remove_contaminated(docs, benchmark)
     assert kept.columns == docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(k for k, _ in rows if k not in bad)
