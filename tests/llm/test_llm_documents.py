@@ -225,8 +225,62 @@ def test_cuts_come_back_after_an_insertion():
     for byte in raw:
         h = (2 * h + gear[byte]) & 0xFFFF
         hashes.append(h)
-    # A chunk that was not cut by its length ends where the plain rolling hash says.
-    assert all(hashes[e - 1] >> (16 - chunks.CUT_BITS) == 0 or y == chunks.LONGEST or e == len(raw) for e, y in zip(a, np.diff([0, *a])))
+    # A chunk ends where the plain rolling hash says, or where it is least, if it says so nowhere within reach.
+    for x, y in zip([0, *a], a):
+        if hashes[y - 1] >> (16 - chunks.CUT_BITS) and y < len(raw):
+            reach = hashes[x + chunks.SHORTEST - 1 : x + chunks.LONGEST]
+            assert min(reach) >> (16 - chunks.CUT_BITS) and y == x + chunks.SHORTEST + reach.index(min(reach))
+
+
+def test_periodic_text_comes_back_in_step():
+    rng = random.Random(5)
+    for n in (1, 2, 3, 9):
+        raw = (" ".join(words(rng, n)) + " ").encode() * 400
+        moved = b"before it" + raw[3:]
+        parts = {raw[x:y] for x, y in zip([0, *chunks.cuts(raw)], chunks.cuts(raw))}
+        ends = chunks.cuts(moved)
+        assert sum(y - x for x, y in zip([0, *ends], ends) if moved[x:y] in parts) > len(moved) - 2 * chunks.LONGEST
+
+
+def plain_passages(rows):
+    """Repeated passages by looking at every run of chunks of every row."""
+    last = (1 << 63) - 1
+    first, parts_of, raws = {}, [], [(text or "").encode() for _, text in rows]
+    for at, (key, _) in enumerate(rows):
+        ends = chunks.cuts(raws[at])
+        parts_of.append([(x, y, raws[at][x:y]) for x, y in zip([0, *ends], ends)])
+        for x, _, part in parts_of[-1]:
+            first[part] = min(first.get(part, (last, at, x)), (last if key is None else key, at, x))
+    out = Counter()
+    for at, (key, _) in enumerate(rows):
+        raw, runs = raws[at], {}
+        for x, y, part in parts_of[at]:
+            holder, row, start = first[part]
+            if holder >= (last if key is None else key):
+                continue
+            mine = runs.setdefault((holder, row, x - start), [])
+            if mine and mine[-1][1] == x:
+                mine[-1][1:] = [y, mine[-1][2] + 1]
+            else:
+                mine.append([x, y, 1])
+        spans = []
+        for (holder, row, shift), found in runs.items():
+            other = raws[row]
+            for x, y, n in found:
+                low, high = max(0, x - chunks.LONGEST), y + chunks.LONGEST
+                while x > low and x > shift and raw[x - 1] == other[x - 1 - shift]:
+                    x -= 1
+                while y < min(high, len(raw), len(other) + shift) and raw[y] == other[y - shift]:
+                    y += 1
+                assert raw[x:y] == other[x - shift : y - shift]
+                if y - x >= chunks.PASSAGE:
+                    spans.append((x, x - y, holder, -n))
+        reached = 0
+        for x, size, holder, n in sorted(spans):
+            if x - size > reached:
+                out[(key, x, -size, -n, holder)] += 1
+                reached = x - size
+    return out
 
 
 def test_repeated_passages_equal_a_plain_version(spark, odd_rows):
@@ -235,27 +289,7 @@ def test_repeated_passages_equal_a_plain_version(spark, odd_rows):
     rows = [*odd_rows, *((100 + i, " ".join([*words(rng, 40), shared, *words(rng, 40)])) for i in range(5)), (200, " ".join(words(rng, 300)))]
     docs = table(spark, rows)
     got = Counter((r.id, r.start, r.n_bytes, r.n_chunks, r.first_id) for r in chunks.repeated_passages(docs).collect())
-    last = (1 << 63) - 1
-    seen, per_row = defaultdict(set), []
-    for key, text in rows:
-        raw = (text or "").encode()
-        ends = chunks.cuts(raw)
-        parts = [(x, raw[x:y]) for x, y in zip([0, *ends], ends)]
-        per_row.append((key, parts))
-        for _, part in parts:
-            seen[part].add(last if key is None else key)
-    want = Counter()
-    for key, parts in per_row:
-        run = []
-        for x, part in [*parts, (None, b"")]:
-            if part and min(seen[part]) < (last if key is None else key):
-                run.append((x, part))
-                continue
-            size = sum(len(p) for _, p in run)
-            if size >= chunks.PASSAGE:
-                want[(key, run[0][0], size, len(run), min(min(seen[p]) for _, p in run))] += 1
-            run = []
-    assert got == want
+    assert got == plain_passages(rows)
     told = {k[0] for k in got}
     assert {101, 102, 103, 104, 4, None} <= told and not told & {1, 2, 3, 5, 7, 100, 200}
     cut = chunks.without_repeats(docs)
@@ -267,6 +301,37 @@ def test_repeated_passages_equal_a_plain_version(spark, odd_rows):
     assert chunks.repeated_passages(table(spark, [])).count() == 0
 
 
+def test_passages_are_told_whole_and_from_one_document(spark):
+    rng = random.Random(16)
+    rows, want = [], {}
+    for i in range(60):
+        shared = " ".join(words(rng, 51))
+        for key in (i, 1000 + i):
+            before, after = " ".join(words(rng, rng.randrange(5, 40))) + " ", " " + " ".join(words(rng, 30))
+            rows.append((key, before + shared + after))
+            want[key] = (len(before), len(shared))
+    # Two halves of 80 bytes from two documents are no passage, nor are they one of 160 bytes.
+    halves = ["".join(rng.choice("abcdefghij ") for _ in range(80)) for _ in range(2)]
+    rows += [(5000, "x" + halves[0] + "y" * 300), (5001, "z" + halves[1] + "w" * 300), (5002, "u" + halves[0] + halves[1] + "v")]
+    # One passage in a third of all rows.
+    rows += [(6000 + i, f"{i} {' '.join(words(rng, 4))} {rows[0][1]}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = chunks.repeated_passages(docs).collect()
+    assert Counter((r.id, r.start, r.n_bytes, r.n_chunks, r.first_id) for r in found) == plain_passages(rows)
+    by_id = defaultdict(list)
+    for r in found:
+        by_id[r.id].append(r)
+    for key, (start, size) in want.items():
+        if key < 1000:
+            assert key not in by_id
+        else:
+            assert min(r.start for r in by_id[key]) <= start and max(r.start + r.n_bytes for r in by_id[key]) >= start + size
+            assert {r.first_id for r in by_id[key]} == {key - 1000}
+    assert not {5000, 5001, 5002} & set(by_id) and all(len(by_id[6000 + i]) for i in range(60))
+    cut = {r.doc_id: r.text for r in chunks.without_repeats(docs).collect()}
+    assert all(cut[k] == t for k, t in rows if k < 1000) and all(len(cut[6000 + i]) < 60 for i in range(60))
+
+
 # --- decontamination --------------------------------------------------------
 def test_masks_find_every_window():
     from itertools import combinations
