@@ -139,7 +139,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     `first_id`, the document that holds it: the smallest id with those chunks;
     `start` and `n_bytes` count UTF-8 bytes.  An anchor, a run of chunks that
     follow each other in both texts, is extended by the bytes that agree before
-    and after it, by `LONGEST` or `passage` bytes on each side; so every anchor inside
+    and after it, by at most `passage` bytes on each side; so every anchor inside
     a common passage of at least `passage` bytes is told, and neighbouring
     anchors tell the rest.  A passage inside another told one is left out; others
     may overlap.  What repeats inside one document only, also over rows of one
@@ -167,24 +167,22 @@ def _with_frequent(many: DataFrame, few: DataFrame, keys: list[str], total: int)
 
 
 def _around(batches: Iterator, reach: int) -> Iterator:
-    """The bytes before and after each asked place of a text."""
+    """The bytes before or after each asked place of a text."""
     import pyarrow as pa
 
     for batch in common.partial_rows(batches, 200):
-        rows, places, counts, before, after = [], [], [], [], []
+        out = []
         for row, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
             raw = text.encode("utf-8", "surrogatepass")
             for one in asked:
                 at = one["at"]
-                rows.append(row)
-                places.append(at)
-                counts.append(one["n"])
-                before.append(raw[max(at - reach, 0) : at])
-                after.append(raw[at : at + reach])
+                near = raw[at : at + reach] if one["after"] else raw[max(at - reach, 0) : at]
+                out.append((row, at, one["after"], one["n"], near))
+        rows, places, sides, counts, near = zip(*out) if out else ((),) * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(counts, pa.int64())]
-            + [pa.array(before, pa.binary()), pa.array(after, pa.binary())],
-            names=["row", "at", "n", "before", "after"],
+            [pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(sides, pa.bool_())]
+            + [pa.array(counts, pa.int64()), pa.array(near, pa.binary())],
+            names=["row", "at", "after", "n", "near"],
         )
 
 
@@ -196,20 +194,14 @@ def equal_bytes(a: bytes, b: bytes, order: str) -> int:
     return n if not differ else (differ & -differ).bit_length() - 1 >> 3
 
 
-def _extended(batches: Iterator) -> Iterator:
+def _agreeing(batches: Iterator, order: str) -> Iterator:
+    """The last two columns, bytes of two texts, made into the number of bytes that agree."""
     import pyarrow as pa
 
     for batch in batches:
-        column = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
-        left = [equal_bytes(a, b, "big") for a, b in zip(column["before"], column["f_before"])]
-        right = [equal_bytes(a, b, "little") for a, b in zip(column["after"], column["f_after"])]
-        starts = [s - x for s, x in zip(column["start"], left)]
-        sizes = [n + x + y for n, x, y in zip(column["n_bytes"], left, right)]
-        kept = [batch.column(batch.schema.get_field_index(n)) for n in ("id", "row", "n_chunks", "place")]
-        yield pa.RecordBatch.from_arrays(
-            [*kept[:2], pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), *kept[2:]],
-            names=["id", "row", "start", "n_bytes", "n_chunks", "first_id"],
-        )
+        *kept, own, other = batch.columns
+        n = [equal_bytes(a, b, order) for a, b in zip(own.to_pylist(), other.to_pylist())]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64())], names=[*batch.schema.names[:-2], "agree"])
 
 
 def passages_of(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
@@ -217,8 +209,7 @@ def passages_of(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     chunks = common.stored(chunk_table(docs, "id", "text", "row"), "chunks")
     # Rows without an id count as one document after all others.
     place = F.coalesce("id", F.lit((1 << 63) - 1))
-    seen = chunks.groupBy("digest").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.count("*").alias("n"))
-    seen = common.stored(seen.where("place < last").drop("last"), "digests")
+    seen = common.stored(chunks.groupBy("digest").agg(F.min(place).alias("place"), F.count("*").alias("n")).where("n > 1"), "digests")
     again = common.stored(_with_frequent(chunks, seen, ["digest"], chunks.count()), "repeats")
     # Of the first document's places of a chunk, the first one.
     own = F.min(F.struct("row", "start", "edges")).alias("own")
@@ -244,20 +235,28 @@ def passages_of(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     anchors = anchors.where(could).withColumn("end", F.col("start") + F.col("n_bytes"))
     anchors = anchors.withColumn("f_start", F.col("start") - F.col("shift")).withColumn("f_end", F.col("end") - F.col("shift"))
     anchors = common.stored(anchors.drop("shift", "run", "as_before", "as_after"), "anchors")
-    ends = [("f_row", "f_start", "before"), ("f_row", "f_end", "after"), ("row", "start", "before"), ("row", "end", "after")]
-    asked = anchors.select(F.explode(F.array(*[F.struct(F.col(r).alias("row"), F.col(a).alias("at")) for r, a, _ in ends])).alias("e"))
-    asked = asked.select("e.*").groupBy("row", "at").agg(F.count("*").alias("n"))
+    ends = [(r, a, after) for after, own, other in ((False, "start", "f_start"), (True, "end", "f_end")) for r, a in (("row", own), ("f_row", other))]
+    asked = F.array(*[F.struct(F.col(r).alias("row"), F.col(a).alias("at"), F.lit(after).alias("after")) for r, a, after in ends])
+    asked = anchors.select(F.explode(asked).alias("e")).select("e.*").groupBy("row", "at", "after").agg(F.count("*").alias("n"))
     # A text has at most as many places as cuts, however many anchors ask for them.
-    by_row = asked.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("asked"))
+    by_row = asked.groupBy("row").agg(F.collect_list(F.struct("at", "after", "n")).alias("asked"))
     texts = docs.select("row", "text").join(by_row, "row")
-    around = "row long, at long, n long, before binary, after binary"
-    around = common.stored(texts.mapInArrow(partial(_around, reach=max(passage, LONGEST)), around), "around")
-    total = 4 * anchors.count()
-    for row, at, side in ends:
-        one = around.select(F.col("row").alias(row), F.col("at").alias(at), "n", F.col(side).alias(side if row == "row" else f"f_{side}"))
-        # One anchor at most starts, and one ends, at a text's own place; the first holders' places may be frequent.
-        anchors = anchors.join(one.drop("n"), [row, at]) if row == "row" else _with_frequent(anchors, one, [row, at], total)
-    spans = anchors.mapInArrow(_extended, "id long, row long, start long, n_bytes long, n_chunks long, first_id long")
+    around = texts.mapInArrow(partial(_around, reach=passage), "row long, at long, after boolean, n long, near binary")
+    around = common.stored(around, "around")
+    spans, total = anchors, 2 * anchors.count()
+    for after, at, name in ((False, "start", "left"), (True, "end", "right")):
+        near = around.where(F.col("after") == after).drop("after")
+        # The first holders' places may be frequent; one anchor at most starts, and one ends, at a text's own place.
+        first = near.select(F.col("row").alias("f_row"), F.col("at").alias(f"f_{at}"), "n", F.col("near").alias("other"))
+        spans = _with_frequent(spans, first, ["f_row", f"f_{at}"], total)
+        spans = spans.join(near.select("row", F.col("at").alias(at), F.col("near").alias("own")), ["row", at])
+        rest = spans.drop("own", "other", f"f_{at}", *(["f_row"] if after else []))
+        schema = ", ".join(f"{c} {t}" for c, t in rest.dtypes) + ", agree bigint"
+        spans = spans.select(*rest.columns, "own", "other").mapInArrow(partial(_agreeing, order="little" if after else "big"), schema)
+        spans = common.stored(spans.withColumnRenamed("agree", name), name)
+    spans = spans.select(
+        "id", "row", (F.col("start") - F.col("left")).alias("start"), F.expr("n_bytes + left + right").alias("n_bytes"), "n_chunks", F.col("place").alias("first_id")
+    )
     spans = spans.where(F.col("n_bytes") >= passage)
     wider = Window.partitionBy("row").orderBy("start", F.desc("n_bytes"), "first_id", F.desc("n_chunks"))
     reached = F.max(F.col("start") + F.col("n_bytes")).over(wider.rowsBetween(Window.unboundedPreceding, -1))

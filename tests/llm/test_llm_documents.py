@@ -267,7 +267,7 @@ def plain_passages(rows):
         for (holder, row, shift), found in runs.items():
             other = raws[row]
             for x, y, n in found:
-                low, high = max(0, x - chunks.LONGEST), y + chunks.LONGEST
+                low, high = max(0, x - chunks.PASSAGE), y + chunks.PASSAGE
                 while x > low and x > shift and raw[x - 1] == other[x - 1 - shift]:
                     x -= 1
                 while y < min(high, len(raw), len(other) + shift) and raw[y] == other[y - shift]:
@@ -321,12 +321,17 @@ def test_passages_are_told_whole_and_from_one_document(spark):
     by_id = defaultdict(list)
     for r in found:
         by_id[r.id].append(r)
+    whole = 0
     for key, (start, size) in want.items():
         if key < 1000:
             assert key not in by_id
         else:
-            assert min(r.start for r in by_id[key]) <= start and max(r.start + r.n_bytes for r in by_id[key]) >= start + size
+            # No more is lost than what a chunk of greatest length reaches beyond the extension.
+            lost = chunks.LONGEST - chunks.PASSAGE
+            assert min(r.start for r in by_id[key]) <= start + lost and max(r.start + r.n_bytes for r in by_id[key]) >= start + size - lost
+            whole += min(r.start for r in by_id[key]) <= start and max(r.start + r.n_bytes for r in by_id[key]) >= start + size
             assert {r.first_id for r in by_id[key]} == {key - 1000}
+    assert whole >= 50
     assert not {5000, 5001, 5002} & set(by_id) and all(len(by_id[6000 + i]) for i in range(60))
     cut = {r.doc_id: r.text for r in chunks.without_repeats(docs).collect()}
     assert all(cut[k] == t for k, t in rows if k < 1000) and all(len(cut[6000 + i]) < 60 for i in range(60))
