@@ -3,7 +3,8 @@
 A document's strength is a weighted sum of features of its text.  The weights
 are learned from preference pairs, a good document against a bad one, by
 logistic loss on the difference of their features.  A quantile of the strengths
-of the labelled rows is the threshold.
+of the labelled rows is the threshold.  All labelled rows take part in both;
+sums over them are made where the rows lie.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled rows a model is fitted on, and preference pairs made of them, at most.
-SAMPLE_ROWS, PAIRS = 20_000, 60_000
+#: Preference pairs: this many in small tables, and this many for each row of the more frequent label in large ones.
+PAIRS, PAIRS_A_ROW = 60_000, 3
+#: Quantiles that are tried as thresholds.
+LEVELS = 1001
 #: The score that the threshold strength gets.
 CUT = 0.3
 
@@ -65,18 +68,23 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def fit_pairs(good, bad, strength_of_prior: float = 1e-3, seed: int = 7):
-    """Weights that make good rows outrank bad ones: logistic loss on feature differences, by Newton's method."""
+def _pair_sums(diff, weights):
+    """Slope and bend of the logistic loss over rows of feature differences, in one row."""
     import numpy as np
 
-    rng = np.random.default_rng(seed)
-    count = min(PAIRS, len(good) * len(bad))
-    diff = good[rng.integers(0, len(good), count)] - bad[rng.integers(0, len(bad), count)]
-    weights = np.zeros(diff.shape[1])
+    p = 1 / (1 + np.exp(np.clip(diff @ weights, -500, 500)))
+    return np.concatenate([diff.T @ p, ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()])
+
+
+def _newton(sums_of, count: int, width: int, strength_of_prior: float):
+    """Weights by Newton's method; `sums_of(weights)` are the sums over all pairs."""
+    import numpy as np
+
+    weights = np.zeros(width)
     for _ in range(30):
-        p = 1 / (1 + np.exp(np.clip(diff @ weights, -500, 500)))
-        slope = diff.T @ p / count - strength_of_prior * weights
-        bend = (diff * (p * (1 - p))[:, None]).T @ diff / count + strength_of_prior * np.eye(len(weights))
+        sums = sums_of(weights) / count
+        slope = sums[:width] - strength_of_prior * weights
+        bend = sums[width:].reshape(width, width) + strength_of_prior * np.eye(width)
         step = np.linalg.solve(bend, slope)
         weights += step * min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-6:
@@ -84,8 +92,82 @@ def fit_pairs(good, bad, strength_of_prior: float = 1e-3, seed: int = 7):
     return weights
 
 
-def fit(rows, labels) -> Model:
-    """A model from feature rows and 0/1 labels.
+def fit_pairs(good, bad, strength_of_prior: float = 1e-3, seed: int = 7):
+    """Weights that make good rows outrank bad ones: logistic loss on feature differences, by Newton's method."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    count = min(PAIRS, len(good) * len(bad))
+    diff = good[rng.integers(0, len(good), count)] - bad[rng.integers(0, len(bad), count)]
+    return _newton(lambda weights: _pair_sums(diff, weights), count, diff.shape[1], strength_of_prior)
+
+
+def _sums(batches: Iterator, of, columns: int) -> Iterator:
+    """The sum of `of(arrays, other columns)` over the batches of a task, as one row."""
+    import numpy as np
+    import pyarrow as pa
+
+    total = None
+    for batch in common.partial_rows(batches, 10_000):
+        if batch.num_rows:
+            arrays = [c.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1) for c in batch.columns[:columns]]
+            found = of(*arrays, *[c.to_numpy(zero_copy_only=False) for c in batch.columns[columns:]])
+            total = found if total is None else total + found
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
+
+
+def _total(table: DataFrame, of, columns: int = 1):
+    """Sums over all rows of a table: its first columns are arrays; each task gives one row of fixed length."""
+    import numpy as np
+
+    rows = table.mapInArrow(partial(_sums, of=of, columns=columns), "total array<double>").collect()
+    return np.sum([r.total for r in rows], axis=0) if rows else None
+
+
+def _moments(x):
+    import numpy as np
+
+    return np.concatenate([[len(x)], x.sum(axis=0)])
+
+
+def _spread(x, mean):
+    return ((x - mean) ** 2).sum(axis=0)
+
+
+def _scaled_pair_sums(good, bad, scale, weights):
+    return _pair_sums((good - bad) / scale, weights)
+
+
+def _below(strength, label, levels):
+    """How many bad and good strengths lie below each level."""
+    import numpy as np
+
+    return np.concatenate([np.searchsorted(np.sort(strength[label == kind, 0]), levels) for kind in (0, 1)])
+
+
+def _strengths(batches: Iterator, mean, scale, weights) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        rows = batch.column(0).flatten().to_numpy().astype(np.float64).reshape(batch.num_rows, len(mean))
+        yield pa.RecordBatch.from_arrays([pa.array(((rows - mean) / scale) @ weights), batch.column(1)], names=["strength", "label"])
+
+
+def _pairs(rows: DataFrame, few: int, many: int, counts: dict[int, int]) -> DataFrame:
+    """Features `good` and `bad` of preference pairs: every row of the frequent label with several of the other, each of which has its turn."""
+    each = min(counts[few], max(PAIRS_A_ROW, -(-PAIRS // counts[many])))
+    placed = common.stored(common.dense_positions(rows.withColumn("h", F.xxhash64("id")), ["label"], ["h", "id", "x"], "at"), "placed")
+    partner = F.explode(F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda k: (F.col("at") * each + k) % counts[few]))
+    left = placed.where(F.col("label") == many).select(F.col("x").alias("frequent"), partner.alias("at"))
+    both = left.join(placed.where(F.col("label") == few).select("at", F.col("x").alias("seldom")), "at")
+    good, bad = ("frequent", "seldom") if many == 1 else ("seldom", "frequent")
+    return common.stored(both.select(F.col(good).alias("good"), F.col(bad).alias("bad")), "pairs")
+
+
+def fit(rows: DataFrame) -> Model:
+    """A model from rows of `id`, `x` and 0/1 `label`.
 
     The threshold is the quantile of the strengths that tells the labels apart
     best, good and bad ones counting alike; among equals the lowest, which
@@ -93,25 +175,31 @@ def fit(rows, labels) -> Model:
     """
     import numpy as np
 
-    if len(rows) == 0:
+    counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         width = len(features(""))
         return Model([0.0] * width, [1.0] * width, [0.0] * width, -20.0)
-    mean, scale = rows.mean(axis=0), rows.std(axis=0)
+    n, *sums = _total(rows.select("x"), _moments)
+    mean = np.array(sums) / n
+    scale = np.sqrt(_total(rows.select("x"), partial(_spread, mean=mean)) / n)
     scale[scale < 1e-9] = 1.0
-    scaled = (rows - mean) / scale
-    good, bad = scaled[labels == 1], scaled[labels == 0]
-    if len(good) == 0 or len(bad) == 0:
-        return Model(mean.tolist(), scale.tolist(), [0.0] * rows.shape[1], 20.0 if len(good) == 0 else -20.0)
-    weights = fit_pairs(good, bad)
-    levels = np.unique(np.quantile(scaled @ weights, np.linspace(0, 1, 1001)))
-    kept = 1 - np.searchsorted(np.sort(good @ weights), levels) / len(good)
-    gone = np.searchsorted(np.sort(bad @ weights), levels) / len(bad)
-    best = kept + gone
+    if len(counts) == 1:
+        return Model(mean.tolist(), scale.tolist(), [0.0] * len(mean), 20.0 if 0 in counts else -20.0)
+    many, few = (1, 0) if counts[1] >= counts[0] else (0, 1)
+    pairs = _pairs(rows, few, many, counts)
+    weights = _newton(
+        lambda w: _total(pairs, partial(_scaled_pair_sums, scale=scale, weights=w), 2), pairs.count(), len(mean), 1e-3
+    )
+    strengths = rows.select("x", "label").mapInArrow(partial(_strengths, mean=mean, scale=scale, weights=weights), "strength double, label int")
+    strengths = common.stored(strengths, "strengths")
+    shares = F.lit([float(q) for q in np.linspace(0, 1, LEVELS)])
+    levels = np.unique(strengths.agg(F.percentile_approx("strength", shares, 100_000).alias("q")).first().q)
+    below = _total(strengths.select(F.array("strength").alias("s"), "label"), partial(_below, levels=levels))
+    gone, lost = below[: len(levels)] / counts[0], below[len(levels) :] / counts[1]
     # The middle of the gap below the chosen quantile: unseen rows fall on either side of it alike.
-    at = int(np.argmax(best))
-    below = np.concatenate([good @ weights, bad @ weights])
-    below = below[below < levels[at]]
-    threshold = (levels[at] + below.max()) / 2 if len(below) else levels[at]
+    level = float(levels[int(np.argmax(1 - lost + gone))])
+    nearest = strengths.where(F.col("strength") < level).agg(F.max("strength")).first()[0]
+    threshold = level if nearest is None else (level + nearest) / 2
     return Model(mean.tolist(), scale.tolist(), weights.tolist(), float(threshold))
 
 
@@ -130,20 +218,13 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.mapInArrow(_feature_rows, "id long, x array<float>")
 
 
-def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most `sample` labelled rows of a feature table, the ones with the least hash of their id.
+def train(table: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
+    """Fit on all labelled rows of a feature table.
 
     Labels other than 0 and 1, null ids and rows without a document are left out.
     """
-    import numpy as np
-
     marks = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-    marks = marks.where("id is not null and label in (0, 1)").orderBy(F.xxhash64("id"), "id", "label").limit(sample)
-    # Rows that repeat an id could outgrow the sample; it is cut again after the join.
-    rows = table.join(marks, "id").orderBy(F.xxhash64("id"), "id", "label", "x").limit(sample).collect()
-    if not rows:
-        return fit(np.empty((0, 0)), np.empty(0))
-    return fit(np.array([r.x for r in rows], np.float64), np.array([r.label for r in rows]))
+    return fit(common.stored(table.join(marks.where("id is not null and label in (0, 1)"), "id").select("id", "x", "label"), "labelled"))
 
 
 def _scores_of(batches: Iterator, model: Model) -> Iterator:
@@ -155,7 +236,7 @@ def _scores_of(batches: Iterator, model: Model) -> Iterator:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(rows))], names=["id", "score"])
 
 
-def rank(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **params) -> DataFrame:
+def rank(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """`id` and `score` per row of `docs`, by a model fitted on `labels`.
 
     Repeated rows stay; a null id is scored and never learned from; null and
@@ -163,7 +244,7 @@ def rank(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     row scores above the threshold.  An empty table gives no rows.
     """
     table = common.stored(feature_table(docs, id_col, text_col), "features")
-    model = train(table, labels, id_col, label_col, **params)
+    model = train(table, labels, id_col, label_col)
     return table.mapInArrow(partial(_scores_of, model=model), "id long, score double")
 
 
