@@ -383,10 +383,10 @@ def dictionary_words(spark, sf_dir):
     docs = A.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     spread = split_words(docs, "text").where(F.length("word").between(2, 12)).select("doc_id", "word").distinct()
     common = spread.groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    lexicon = common.join(total, F.col("docs") * 50 >= F.col("total")).select("word")
+    # Both are read several times, and each time would split all texts again.
+    lexicon = A._stored(spark, "lexicon", common.where(F.col("docs") * 50 >= docs.count()).select("word"))
     # Runs are cut one by one, so equal ones are counted before and not joined by a frequent key.
-    runs = word_count(spark, sf_dir).withColumnsRenamed({"word": "run", "n": "times"})
+    runs = A._stored(spark, "runs", word_count(spark, sf_dir).withColumnsRenamed({"word": "run", "n": "times"}))
     found = tokens.dictionary_words(runs, "run", lexicon, script=r"[\p{L}\p{N}]")
     return found.groupBy("lang", "word").agg(F.sum("times").alias("n"))
 
