@@ -20,8 +20,15 @@ def sink_columns() -> Column:
 
 def route(changes: DataFrame, routing: DataFrame) -> DataFrame:
     """Changes of configured tables, cut to the configured columns and tagged
-    with their sink table.  Tables without configuration are dropped."""
-    rules = routing.select(
+    with their sink table.  Tables without configuration are dropped.
+
+    The configuration, one row per dimension table, is taken into the plan: its
+    size is known there, so changes are not shuffled by the few table names, and
+    feeds of other tables are left out before a row of them is made.
+    """
+    known = routing.toArrow()
+    tables = {t for t in known.column("source_table").to_pylist() if t is not None}
+    rules = routing.sparkSession.createDataFrame(known, routing.schema).select(
         F.col("source_table").alias("table"),
         "sink_table",
         F.coalesce(F.nullif("sink_pk", F.lit("")), F.lit("id")).alias("sink_pk"),
@@ -29,7 +36,7 @@ def route(changes: DataFrame, routing: DataFrame) -> DataFrame:
     )
     kept = F.map_filter("data", lambda k, _: F.array_contains("_keep", k))
     return (
-        changes.where(P.is_type(*ROUTED_TYPES))
+        changes.where(P.is_type(*ROUTED_TYPES) & F.col("table").isin(sorted(tables)))
         .join(rules, "table")
         .withColumn("data", kept)
         .withColumn("pk", F.try_element_at("data", F.col("sink_pk")))
