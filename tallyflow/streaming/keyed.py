@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,13 +28,15 @@ def _state(name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind)])
 
 
-def _run(df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts: str, delay: str) -> DataFrame:
-    """Group a timed stream by key and run the processor on event time."""
+def _run(df: DataFrame, key: str, processor: StatefulProcessor, extra: str, ts: str, delay: str, by_row: bool = False) -> DataFrame:
+    """Group a timed stream by key and run the processor on event time; `by_row` hands it rows, not data frames."""
     timed = watermarked(df.withColumn(_MS, F.unix_millis(ts)), ts, delay)
     fields = [f for f in timed.schema.fields if f.name != _MS]
     schema = T.StructType(fields + list(T.StructType.fromDDL(extra).fields if extra else []))
     processor.columns = schema.names
-    return timed.groupBy(key).transformWithStateInPandas(
+    grouped = timed.groupBy(key)
+    run = grouped.transformWithState if by_row else grouped.transformWithStateInPandas
+    return run(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="Append",
@@ -97,8 +99,10 @@ class DayFirsts(_Base):
 
     State is the list of the key's open days.  A day is open until the watermark
     passes its end: later rows of it are dropped as late before they get here,
-    so nothing can ask for the day again.  A timer at the day's end removes it,
-    and a key without open days has no state.
+    so nothing can ask for the day again.  A key has one timer, at the end of its
+    first open day; it removes all days that have ended and goes on to the next
+    one's end.  A key without open days has no state.  Keys are many and their
+    rows few, so it takes rows: a data frame for each key costs more than the rule.
     """
 
     def __init__(self, day: str, zone: str):
@@ -107,32 +111,44 @@ class DayFirsts(_Base):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", _state("days", T.ArrayType(T.StringType())))
+        self.ends: dict[str, int] = {}
 
     def _end(self, day: str) -> int:
         """The first millisecond after the day; a day of a zone may have 23 or 25 hours."""
-        return int((pd.Timestamp(day) + pd.Timedelta(days=1)).tz_localize(self.zone, nonexistent="shift_forward", ambiguous=True).timestamp() * 1000)
+        if day not in self.ends:
+            midnight = pd.Timestamp(day) + pd.Timedelta(days=1)
+            self.ends[day] = int(midnight.tz_localize(self.zone, nonexistent="shift_forward", ambiguous=True).timestamp() * 1000)
+        return self.ends[day]
 
     def _days(self) -> list[str]:
-        return list(self.open.get()[0]) if self.open.exists() else []
+        held = self.open.get()
+        return list(held[0]) if held is not None else []
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         seen = self._days()
-        for chunk in rows:
-            new = chunk[chunk[self.day].notna() & ~chunk[self.day].isin(seen)]
-            pool = new if best is None else pd.concat([best, new])
-            best = pool.sort_values(_MS, kind="stable").drop_duplicates(self.day)
-        if best is not None and len(best):
-            for day in best[self.day]:
-                self.handle.registerTimer(self._end(day))
-            self.open.update((seen + list(best[self.day]),))
-            yield self._out(best)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        best: dict[str, Row] = {}
+        for row in rows:
+            day = row[self.day]
+            if day is not None and day not in seen and (day not in best or row[_MS] < best[day][_MS]):
+                best[day] = row
+        if not best:
+            return
+        first = min(map(self._end, best))
+        before = min(map(self._end, seen), default=None)
+        if before is None or first < before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(first)
+        self.open.update((seen + list(best),))
+        for row in sorted(best.values(), key=lambda r: r[_MS]):
+            yield Row(**{c: row[c] for c in self.columns})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         left = [day for day in self._days() if self._end(day) > now]
         if left:
             self.open.update((left,))
+            self.handle.registerTimer(min(map(self._end, left)))
         else:
             self.open.clear()
         return iter(())
@@ -145,7 +161,7 @@ def day_firsts(df: DataFrame, key: str, day: str, ts: str, delay: str = "2 secon
     day are dropped.  What needs the days before, use `day_openers`.
     """
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    return _run(df, key, DayFirsts(day, zone), "", ts, delay)
+    return _run(df, key, DayFirsts(day, zone), "", ts, delay, by_row=True)
 
 
 class NewFlagRepair(_Base):
