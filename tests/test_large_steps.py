@@ -3,6 +3,8 @@
 from pyspark.sql import Row
 
 import __spark_entry__ as entry
+from tallyflow.operators import facts as X
+from tallyflow.plans import table_feeds as A
 from tallyflow.streaming import keyed as K
 
 QUERIES = entry.queries()
@@ -74,3 +76,37 @@ def test_one_timer_for_all_open_days_of_a_key():
     assert handle.held == (["2024-01-05"],) and handle.timers == {first + 5 * day_ms}
     list(rule.handleExpiredTimer(("a",), _Now(first + 5 * day_ms), _Now(first + 5 * day_ms)))
     assert handle.held is None
+
+
+def test_routed_counts_make_no_maps(spark, sf_dir):
+    assert " map(" not in plan(QUERIES["cdc_route"](spark, sf_dir))
+
+
+def test_facts_from_few_orders_are_the_same(spark, sf_dir):
+    """Paid and cancelled lines from the orders on, against the same facts out of all order lines."""
+    feeds = A.feeds(spark, sf_dir, "order_info", "order_detail", "order_detail_activity", "order_detail_coupon", "payment_info")
+    codes = A.dictionary(spark, sf_dir)
+    wide = X.order_wide(feeds, codes, A.SHOP)
+    for few, all_lines in (
+        (X.order_payments(feeds, codes, A.SHOP), X.paid_details(feeds, X.order_details(wide), codes)),
+        (X.order_cancellations(feeds, codes, A.SHOP), X.cancelled_details(wide)),
+    ):
+        assert few.columns == all_lines.columns
+        assert few.count() > 0
+        assert few.exceptAll(all_lines).isEmpty() and all_lines.exceptAll(few).isEmpty()
+
+
+def test_wide_lines_are_not_sorted_for_their_joins(spark, sf_dir):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    df = QUERIES["order_detail"](spark, sf_dir)
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        df = df.select("*")
+        df.collect()
+        final = plan(df).split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
