@@ -34,8 +34,11 @@ GROUPINGS = 3
 SLOT_BITS, CHUNK_BITS = 20, 10
 #: Bits of a hash that trees are told by; a chance meeting is only one more pair to look at.
 TOKEN_BITS = 44
+#: Asked rows are marked in so many bits, whatever their number, each task's rows side by side from steps of `MARK_STEP` on.
+#: Rows that share a bit only let more texts through to the exact join.
+MARK_BITS, MARK_STEP = 26, 41475559
 LEAVES = "leaf long, comp long, low long, high long, shared long, bits binary, tokens array<long>"
-SETS = "leaf long, comp long, row long, n long, shared long, bits binary, hashes binary"
+SETS = "row long, n long, shared long, bits binary, hashes binary"
 PRINTS = "row long, id long, n long, node long, least array<long>, chunk int, slots binary, sums binary"
 
 
@@ -291,6 +294,18 @@ def _pairs_batch(pairs: list):
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _marked(batches: Iterator, marks) -> Iterator:
+    """Rows of texts whose bit is set."""
+    import numpy as np
+    import pyarrow as pa
+
+    bits = np.frombuffer(marks.value, np.uint8)
+    for batch in batches:
+        row = batch.column(0).to_numpy()
+        at = ((row & ((1 << 33) - 1)) + (row >> 33) * MARK_STEP) & (8 * len(bits) - 1)
+        yield batch.filter(pa.array(bits[at >> 3] >> (at & 7) & 1 == 1))
+
+
 def _whole_links(batches: Iterator, shingle: int, similar: int) -> Iterator:
     links: list = []
     for _, rows in _runs(batches, 2):
@@ -357,11 +372,11 @@ def _leaf_pairs(batches: Iterator, similar: int) -> Iterator:
 
 
 def _sets(batches: Iterator, shingle: int) -> Iterator:
-    """Of a leaf's rows: the size, shared bits, bitmap and hashes of each."""
+    """Of rows: the size, shared bits, bitmap and hashes of each."""
     import pyarrow as pa
 
     for batch in common.partial_rows(batches, 500):
-        sets = [shingle_set(t, shingle) for t in batch.column(3).to_pylist()]
+        sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
         maps = [bitmap(s, width_of(len(s))) for s in sets]
         columns = [
             pa.array([len(s) for s in sets], pa.int64()),
@@ -369,7 +384,7 @@ def _sets(batches: Iterator, shingle: int) -> Iterator:
             pa.array([m[0].tobytes() for m in maps], pa.binary()),
             pa.array([s.tobytes() for s in sets], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=SETS.replace(",", "").split()[::2])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=SETS.replace(",", "").split()[::2])
 
 
 def _near_sets(batches: Iterator, similar: int) -> Iterator:
@@ -432,6 +447,18 @@ def _sketch(prints: DataFrame, job: Job) -> bytes:
     return out.tobytes()
 
 
+def _asked_texts(asked: DataFrame, job: Job) -> DataFrame:
+    """The texts of the rows that `asked` has, and few others: what is left out here is not moved to be joined."""
+    at = F.expr(f"((row & {(1 << 33) - 1}) + shiftright(row, 33) * {MARK_STEP}) & {(1 << MARK_BITS) - 1}")
+    bits = asked.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("chunk"))
+    bits = bits.agg(F.bitmap_construct_agg(F.expr("at & 32767")).alias("marks"))
+    marks = bytearray(1 << (MARK_BITS - 3))
+    for found in bits.collect():
+        marks[found.chunk << 12 : (found.chunk + 1) << 12] = found.marks
+    shared = asked.sparkSession.sparkContext.broadcast(bytes(marks))
+    return job.texts.mapInArrow(partial(_marked, marks=shared), "row long, text binary")
+
+
 def _close_links(prints: DataFrame, nodes: DataFrame, job: Job) -> DataFrame:
     """Links of whole sets that have a least hash in common, in trees of at most about `WHOLE` sets."""
     kept = prints.select("row", "node", F.posexplode("least").alias("turn", "token")).join(nodes.select("row"), "row", "left_semi")
@@ -444,7 +471,8 @@ def _close_links(prints: DataFrame, nodes: DataFrame, job: Job) -> DataFrame:
     placed = kept.join(groups, ["turn", "token"])
     places = placed.select("row", "node", F.xxhash64("turn", "token").alias("tree"), F.expr("pmod(xxhash64(node, turn), trees)").alias("part"))
     # Stored, so that its size is known and texts are only shuffled for it where it is large.
-    whole = job.texts.join(common.stored(places, "places"), "row").select("tree", "part", "node", "text")
+    places = common.stored(places, "places")
+    whole = _asked_texts(places, job).join(places, "row").select("tree", "part", "node", "text")
     whole = whole.repartition(job.tasks, "tree", "part").sortWithinPartitions("tree", "part")
     links = whole.mapInArrow(partial(_whole_links, shingle=job.shingle, similar=job.similar), "a long, b long")
     return common.stored(links, "close")
@@ -495,7 +523,7 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     """Components that a link joins, as pairs `a`, `b`."""
     sketch = prints.sparkSession.sparkContext.broadcast(_sketch(prints, job))
     spots = placed.select("row", "comp", "leaf")
-    prefixes = job.texts.mapInArrow(
+    prefixes = _asked_texts(spots, job).mapInArrow(
         partial(_prefixes, shingle=job.shingle, similar=job.similar, sketch=sketch),
         "row long, tokens array<long>, n long, shared long, bits binary",
     )
@@ -508,11 +536,12 @@ def _far_links(prints: DataFrame, placed: DataFrame, job: Job) -> DataFrame:
     hung = hung.repartition(job.tasks, "tree", "part", "other").sortWithinPartitions("tree", "part", "other")
     pairs = common.stored(hung.mapInArrow(partial(_leaf_pairs, similar=job.similar), "a long, b long").distinct(), "pairs")
     used = common.stored(spots.join(pairs.selectExpr("explode(array(a, b)) as leaf").distinct(), "leaf", "left_semi"), "used")
-    sets = job.texts.join(used, "row").select("leaf", "comp", "row", "text").mapInArrow(partial(_sets, shingle=job.shingle), SETS)
-    sets = common.stored(sets, "sets")
+    # Sets are made where the texts lie; those that no leaf asked for go with the join below.
+    sets = common.stored(_asked_texts(used, job).mapInArrow(partial(_sets, shingle=job.shingle), SETS), "sets")
     # A leaf is at most `LEAF` sets, and only their bitmaps move here.
     own = F.struct("row", "n", "shared", "bits")
-    packed = common.stored(sets.groupBy("leaf", "comp").agg(F.collect_list(own).alias("own")), "packed")
+    held = sets.drop("hashes").join(used, "row").groupBy("leaf", "comp").agg(F.collect_list(own).alias("own"))
+    packed = common.stored(held, "packed")
     both = pairs.join(packed.select(F.col("leaf").alias("a"), F.col("comp").alias("ca"), F.col("own").alias("xs")), "a")
     both = both.join(packed.select(F.col("leaf").alias("b"), F.col("comp").alias("cb"), F.col("own").alias("ys")), "b")
     near = both.select("ca", "cb", "xs", "ys").mapInArrow(partial(_near_sets, similar=job.similar), "ca long, cb long, x long, y long")

@@ -121,3 +121,40 @@ def test_odd_rows_of_the_similarity_join(spark):
     want = [(5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 1, 8), (8, 1, 8), (9, 1, 8), (10, 1, 10), (None, 1, 8), (None, 1, None)]
     assert got == sorted(want, key=str)
     assert sigtree.jaccard_components(docs.limit(0)).count() == 0
+
+
+def test_only_asked_texts_are_moved(spark, monkeypatch):
+    """Texts that no group of whole sets and no pair of leaves asks for are left out before a shuffle; no asked one is."""
+    plans, keep = {}, sigtree.common.stored
+
+    def stored(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, purpose)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    words = lambda i: [f"w{i}x{k}" for k in range(40)]
+    near = [(i, " ".join(words(i))) for i in range(60)] + [(100 + i, " ".join([*words(i)[:39], "end"])) for i in range(0, 60, 20)]
+    docs = spark.createDataFrame(near, "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(sigtree.common, "stored", stored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {r.id: r.component for r in sigtree.jaccard_components(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {i: i % 100 for i, _ in near}
+    # Sets are made where the texts lie; whole texts are filtered before they are dealt out for a join.
+    assert "Exchange" not in plans["sets"]
+    assert plans["close"].count("MapInArrow") == 2
+
+
+def test_marked_rows_hold_all_that_are_asked(spark, monkeypatch):
+    rows = [(part << 33) + at for part in (0, 1, 5, 700, 90_000) for at in range(300)]
+    texts = spark.createDataFrame([(r, b"t") for r in rows], "row long, text binary")
+    asked = [r for r in rows if r % 7 == 0]
+    job = sigtree.Job(texts, 5, 80, 4)
+    wanted = spark.createDataFrame([(r,) for r in asked], "row long")
+    assert sorted(r.row for r in sigtree._asked_texts(wanted, job).collect()) == asked
+    # With few bits rows share some; more pass, and none is lost.
+    monkeypatch.setattr(sigtree, "MARK_BITS", 15)
+    assert set(asked) <= {r.row for r in sigtree._asked_texts(wanted, job).collect()}
+    assert sigtree._asked_texts(wanted.limit(0), job).count() == 0
