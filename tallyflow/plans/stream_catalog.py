@@ -22,7 +22,7 @@ from ..operators import joins as J
 from ..operators import logsplit as L
 from ..operators.parse import clean_rows
 from ..operators.windows import window_sums
-from ..session import STATE_PROVIDER, work_folder
+from ..session import JOIN_STATE, STATE_PROVIDER, work_folder
 from ..sources import feeds as S
 from ..sources import sinks as W
 from ..streaming import keyed as K
@@ -265,8 +265,10 @@ def _without_closing(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(~F.col(key).isin([k for turn in range(_CLOSING_ROUNDS) for k in _closing_keys(spark, turn)]))
 
 
-def _change_stream(spark: SparkSession, sf_dir: str, name: str, when: str = "ts", slices: list[str] = _SLICES) -> DataFrame:
-    """A table's changes as text in order of time, several micro-batches of files, and closing records.
+def _change_stream(
+    spark: SparkSession, sf_dir: str, name: str, when: str = "ts", slices: list[str] = _SLICES, rounds: int = _CLOSING_ROUNDS
+) -> DataFrame:
+    """A table's changes as text in order of time, several micro-batches of files, and rounds of closing records.
 
     `when` is the second a change is told to have happened at.
     """
@@ -276,7 +278,7 @@ def _change_stream(spark: SparkSession, sf_dir: str, name: str, when: str = "ts"
     for rule in slices:
         rows = told.where(rule).select(F.to_json(F.struct(*schemas.CHANGE.names)).alias("value"))
         rows.repartition(parts).write.mode("append").text(folder)
-    for turn in range(_CLOSING_ROUNDS):
+    for turn in range(rounds):
         # One record in each of as many files as a micro-batch takes, so that rounds do not share one.
         text = _closing_change(name, f"closing-{turn}-#", _CLOSING_AT + 60 * turn)
         last = spark.range(0, parts, 1, parts).select(F.replace(F.lit(text), F.lit("#"), F.col("id").cast("string")).alias("value"))
@@ -284,27 +286,29 @@ def _change_stream(spark: SparkSession, sf_dir: str, name: str, when: str = "ts"
     return S.change_rows(S.folder_lines(spark, folder, files_per_batch=parts))
 
 
-def _change_streams(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
-    return {t: _change_stream(spark, sf_dir, t) for t in tables}
+def _refund_feeds(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
+    """An inner join gives out a pair when its second row comes; nothing waits for closing records, and each round would read all state."""
+    return {t: _change_stream(spark, sf_dir, t, rounds=0) for t in tables}
 
 
 def _upserted(spark: SparkSession, df: DataFrame, name: str, keys: list[str], order: list[str]) -> DataFrame:
     """Run a fact to its end through the upsert sink; the rows it then holds."""
     out = work_folder(spark, name)
-    _finish(W.start(df, W.upsert_writer(out, keys, order), work_folder(spark, f"{name}-progress"), available_now=True))
-    return _without_closing(W.read_upserts(spark, out, keys, order), keys[0]).select(*df.columns)
+    progress = work_folder(spark, f"{name}-progress")
+    _finish(W.start(df, W.upsert_writer(out, keys, order), progress, available_now=True, conf=JOIN_STATE))
+    return W.read_upserts(spark, out, keys, order).select(*df.columns)
 
 
 @query
 def stream_refund_detail(spark, sf_dir):
-    feeds = _change_streams(spark, sf_dir, "order_info", "order_refund_info")
+    feeds = _refund_feeds(spark, sf_dir, "order_info", "order_refund_info")
     rows = X.stream_refund_requests(feeds, A.dictionary(spark, sf_dir), within=_MONTH)
     return _shown(_upserted(spark, rows, "refund-detail", ["id"], ["row_op_ts"]))
 
 
 @query
 def stream_refund_paid(spark, sf_dir):
-    feeds = _change_streams(spark, sf_dir, "order_info", "order_refund_info", "refund_payment")
+    feeds = _refund_feeds(spark, sf_dir, "order_info", "order_refund_info", "refund_payment")
     rows = X.stream_refunds_paid(feeds, A.dictionary(spark, sf_dir), within=_MONTH)
     return _shown(_upserted(spark, rows, "refund-paid", ["id", "_request"], ["row_op_ts"]).drop("_request"))
 

@@ -6,7 +6,7 @@ overwrites exactly what its first attempt wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,21 +27,25 @@ def start(
     available_now: bool = False,
     every: str = "10 seconds",
     state_parts: int | None = None,
+    conf: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Run `writer` once per micro-batch; progress is kept in `checkpoint`.
 
     Keyed state is cut into `state_parts` parts, by default one per core of the
     cluster.  The number holds for the life of a checkpoint, so it is given with
-    the query and not left to the session.
+    the query and not left to the session; so are the settings in `conf`.
     """
     spark = df.sparkSession
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_parts or spark.sparkContext.defaultParallelism))
+    own = {"spark.sql.shuffle.partitions": str(state_parts or spark.sparkContext.defaultParallelism), **(conf or {})}
+    before = {key: spark.conf.get(key, None) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
         return _started(df, writer, checkpoint, mode, available_now, every)
     finally:
         # The query has its own copy of the settings.
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _started(df: DataFrame, writer: Writer, checkpoint: str, mode: str, available_now: bool, every: str) -> StreamingQuery:

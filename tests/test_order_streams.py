@@ -83,3 +83,23 @@ def test_a_payment_meets_lines_up_to_905_seconds_away(spark, tmp_path):
     rows, _ = drained(spark, X.stream_paid_details(payments, stream, dictionary, delay="3000 seconds"), tmp_path, "paid")
     # c is 906 seconds before its payment and e is 906 after it; d comes after its payment.
     assert sorted(r.order_detail_id for r in rows.collect()) == ["a", "b", "d"]
+
+
+def test_a_refund_stream_has_a_batch_for_each_slice_and_its_settings_stay_its_own(spark, sf_dir, monkeypatch):
+    from tallyflow.plans import stream_catalog as C
+    from tallyflow.session import JOIN_STATE
+
+    seen, start = [], W.start
+
+    def started(*args, **more):
+        query = start(*args, **more)
+        seen.append((query, more.get("conf")))
+        return query
+
+    monkeypatch.setattr(W, "start", started)
+    before = {key: spark.conf.get(key, None) for key in JOIN_STATE}
+    assert C.QUERIES["stream_refund_detail"](spark, sf_dir).count() > 0
+    (query, conf), = seen
+    # Closing records would add a batch each that reads all state again; one batch without rows may follow the last.
+    assert len([p for p in query.recentProgress if p.numInputRows]) == len(C._SLICES)
+    assert conf == JOIN_STATE and {key: spark.conf.get(key, None) for key in JOIN_STATE} == before
