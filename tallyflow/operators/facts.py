@@ -367,12 +367,12 @@ def stream_refunds_paid(
 ) -> DataFrame:
     """Paid refunds of streams, all three changes within a time of the payment's.
 
+    Orders are joined first: few are refunded, so few payments go on to the requests.
     Replays are left to the upsert sink, whose keys are `id` and `_request`, the request's own id.
     """
     paid, requested = _refund_parts(changes, dictionary, strict)
     orders = _orders_in(changes, "1006", "user_id", "province_id")
-    rows = stream_join(paid, requested, F.expr(_SAME_REFUND), "_paid_ts", "_request_ts", within, within, delay=delay)
-    rows = stream_join(
-        rows.drop("_request_ts"), orders, F.expr(_SAME_ORDER), "_paid_ts", "_order_ts", within, within, delay=delay
-    )
-    return rows.withColumn("row_op_ts", F.greatest("_paid_ts", "_order_ts")).select(*schemas.REFUND_PAID, "_request")
+    rows = stream_join(paid, orders, F.expr(_SAME_ORDER), "_paid_ts", "_order_ts", within, within, delay=delay)
+    rows = rows.withColumn("row_op_ts", F.greatest("_paid_ts", F.timestamp_micros(F.unix_micros("_order_ts")))).drop("_order_ts")
+    rows = stream_join(rows, requested, F.expr(_SAME_REFUND), "_paid_ts", "_request_ts", within, within, delay=delay)
+    return rows.select(*schemas.REFUND_PAID, "_request")

@@ -85,6 +85,26 @@ def test_a_payment_meets_lines_up_to_905_seconds_away(spark, tmp_path):
     assert sorted(r.order_detail_id for r in rows.collect()) == ["a", "b", "d"]
 
 
+def refund(id, order, at):
+    return change("order_refund_info", at, id=id, order_id=order, sku_id="s", refund_num="1", refund_type="1", refund_reason_type="2", create_time="2023-11-14 22:13:20")
+
+
+def test_only_payments_of_refunded_orders_are_held_for_requests(spark, tmp_path):
+    dictionary = spark.createDataFrame(DICTIONARY, "dic_code string, dic_name string")
+    paid = lambda i: change("refund_payment", i, "update", {"refund_status": "0701"}, id=f"p{i}", order_id=f"o{i}", sku_id="s", payment_type="2", total_amount="1.00", callback_time="2023-11-15 00:00:00")
+    done = [order(f"o{i}", i, "1006", kind="update", old={"order_status": "1005"}) for i in (3, 7)]
+    batches = [[paid(i) for i in range(20)], [refund(f"r{i}", f"o{i}", i) for i in range(20)], done]
+    rows = X.stream_refunds_paid(feed(spark, tmp_path / "feed", batches), dictionary, within="31 days")
+    got, progress = drained(spark, rows, tmp_path, "refunds")
+    assert {(r.id, r["_request"], r.order_id, r.refund_num, r.row_op_ts.timestamp()) for r in got.collect()} == {
+        ("p3", "r3", "o3", "1", START + 3.0),
+        ("p7", "r7", "o7", "1", START + 7.0),
+    }
+    held = [sum(s["numRowsTotal"] for s in json.loads(p.json)["stateOperators"]) for p in progress]
+    # 20 payments, 20 requests, two orders and two payments that have met theirs; before, all payments were held twice.
+    assert max(held) == 44
+
+
 def test_a_refund_stream_has_a_batch_for_each_slice_and_its_settings_stay_its_own(spark, sf_dir, monkeypatch):
     from tallyflow.plans import stream_catalog as C
     from tallyflow.session import JOIN_STATE
