@@ -102,7 +102,8 @@ def _near_in_word(index: DataFrame, distance: int) -> DataFrame:
         # The position of the only set bit, or 0 where the segments are equal.
         first += f" when bit_count({diff}) <= 1 then {number} + bit_count(greatest({diff} - 1L, 0L))"
         number += width
-    spread = index.selectExpr("node", "fp", f"explode(array({', '.join(variants)})) as variant")
+    # Spark sizes the exploded index like the nodes it is made of and would send it to the driver for a broadcast.
+    spread = index.selectExpr("node", "fp", f"explode(array({', '.join(variants)})) as variant").hint("merge")
     met = F.expr(
         f"x.variant = y.variant and x.node < y.node and bit_count(x.fp ^ y.fp) <= {distance} "
         f"and (shiftright(x.variant, {key_bits}) & {(1 << BITS.bit_length()) - 1}) = case{first} end"

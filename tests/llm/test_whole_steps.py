@@ -1,9 +1,13 @@
-"""Steps that take all their rows: rounds of the language model."""
+"""Steps that take all their rows: rounds of the language model, joins of exploded rows."""
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyflow.llm import hmm
+from tallyflow.llm import common, hmm, simhash
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_every_round_goes_over_all_training_texts(spark, monkeypatch):
@@ -33,3 +37,11 @@ def test_blocks_and_groups_change_no_counts(monkeypatch):
         assert all(np.allclose(a, b) for a, b in zip(counted(), want))
     codes = codes[:2]  # texts without words
     assert counted()[1].sum() == 0
+
+
+def test_exploded_rows_are_not_sent_to_the_driver(spark):
+    """Spark sizes exploded rows like the rows they come from, here far below the limit of a broadcast."""
+    nodes = spark.createDataFrame([(i, [i * 7919]) for i in range(50)], "node long, fps array<long>")
+    nodes = common.stored(nodes, "few-nodes")  # so that its size is known
+    found = plan(simhash.links(nodes, 4))
+    assert "SortMergeJoin" in found and "Broadcast" not in found
