@@ -161,12 +161,16 @@ def near_duplicates(
     return prints.join(by_node, "node").select("id", "fps", "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: int = 80) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: int = 80, distance: int | None = None
+) -> DataFrame:
     """The rows of `docs` without near-copies: of each component the row with the smallest id stays.
 
     A link is `similar` percent of the union of both whole shingle sets in
-    common, by `sigtree.jaccard_components`.  Fingerprints take no part: so few
-    bits miss texts near that bound, and what they find the trees find too.
+    common.  With a `distance`, `near_duplicates` first tells the rows whose
+    fingerprints differ in at most so many bits, each held against the first row
+    of its component by the same rule.  So few bits miss texts near that bound;
+    `sigtree.jaccard_components` adds the links that are left.
 
     Texts without words (null or empty) are copies of each other.  Rows without
     an id stay only where their component has no id at all; of repeated rows with
@@ -175,7 +179,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     row = common.unused(docs, "_row")
     keyed = common.stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     # The row number plays the id, so that ties have one winner; ids decide first.
-    found = sigtree.jaccard_components(keyed, row, text_col, shingle, similar)
+    told = None
+    if distance is not None:
+        near = near_duplicates(keyed, row, text_col, shingle, distance).where("id <> component")
+        told = near.select(F.col("component").alias("a"), F.col("id").alias("b"))
+    found = sigtree.jaccard_components(keyed, row, text_col, shingle, similar, told)
     group = F.when(F.col("n_shingles") == 0, F.lit(-1)).otherwise(F.col("component"))
     sized = found.select(F.col("id").alias("at"), group.alias("group"))
     sized = sized.join(keyed.select(F.col(row).alias("at"), F.col(id_col).cast("long").alias("own")), "at")

@@ -1,6 +1,7 @@
-"""Steps that take all their rows: rounds of the language model, joins of exploded rows."""
+"""Steps that take all their rows: rounds of the language model, fingerprints before signature trees, joins of exploded rows."""
 
 import numpy as np
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tallyflow.llm import common, hmm, simhash
@@ -39,6 +40,19 @@ def test_blocks_and_groups_change_no_counts(monkeypatch):
     assert counted()[1].sum() == 0
 
 
+def test_fingerprints_of_all_documents_come_before_the_trees(spark, sf_dir, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:58])), (3, " ".join(words[::-1])), (3, "x"), (None, "x"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, search, trees = [], simhash.near_duplicates, simhash.sigtree.jaccard_components
+    monkeypatch.setattr(simhash, "near_duplicates", lambda docs, *more: seen.append(docs.count()) or search(docs, *more))
+    told = []
+    monkeypatch.setattr(simhash.sigtree, "jaccard_components", lambda *a: told.append(a[-1].count()) or trees(*a))
+    kept = corpus_pipeline.one_of_each_group(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 3, 4]
+    assert seen == [7] and told[0] >= 2  # copies of x, and texts without words
+
+
 def test_exploded_rows_are_not_sent_to_the_driver(spark):
     """Spark sizes exploded rows like the rows they come from, here far below the limit of a broadcast."""
     nodes = spark.createDataFrame([(i, [i * 7919]) for i in range(50)], "node long, fps array<long>")
