@@ -45,7 +45,8 @@ def _spans(runs: DataFrame, lexicon: DataFrame) -> DataFrame:
     tried = opened.join(prefixes, "prefix").select("_id", "at", "head", F.explode(fitting).alias("len"))
     found = tried.select("_id", "at", F.substr("head", F.lit(1), F.col("len")).alias("word")).join(known, "word")
     covered = found.select("_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.length("word") - 1)).alias("at"))
-    alone = starts.join(covered.distinct(), ["_id", "at"], "left_anti").select("_id", one.alias("word"))
+    # Places are exploded from runs; Spark sizes them like the runs and would broadcast them.
+    alone = starts.join(covered.distinct().hint("merge"), ["_id", "at"], "left_anti").select("_id", one.alias("word"))
     return found.select("_id", "word").unionByName(alone)
 
 
@@ -66,4 +67,5 @@ def dictionary_words(df: DataFrame, text: str, lexicon: DataFrame, word: str = "
     plain = parts.where(~cut).withColumn(word, F.col("_part"))
     keyed = parts.where(cut).withColumn("_id", F.sha2("_part", 256))
     spans = _spans(keyed.select("_id", "_part").distinct(), lexicon).withColumnRenamed("word", word)
-    return plain.select(*out).unionByName(keyed.drop("_part").join(spans, "_id").select(*out))
+    # So it would with runs that were cut out of texts and carry long keys.
+    return plain.select(*out).unionByName(keyed.drop("_part").hint("merge").join(spans, "_id").select(*out))

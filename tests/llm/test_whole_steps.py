@@ -4,6 +4,7 @@ import numpy as np
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from tallyflow.functions import tokens
 from tallyflow.llm import common, hmm, simhash
 
 
@@ -59,3 +60,9 @@ def test_exploded_rows_are_not_sent_to_the_driver(spark):
     nodes = common.stored(nodes, "few-nodes")  # so that its size is known
     found = plan(simhash.links(nodes, 4))
     assert "SortMergeJoin" in found and "Broadcast" not in found
+    runs = spark.createDataFrame([(i, f"ab{i}") for i in range(50)], "id long, run string")
+    lexicon = spark.createDataFrame([("ab",), ("b1",)], "word string")
+    runs, lexicon = common.stored(runs, "few-runs"), common.stored(lexicon, "few-words")
+    joined = tokens.dictionary_words(runs, "run", lexicon, script=r"[\p{L}\p{N}]")
+    by_run = [line for line in plan(joined).splitlines() if "Join [_id" in line]
+    assert len(by_run) == 2 and all("SortMergeJoin" in line for line in by_run)
